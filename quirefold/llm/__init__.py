@@ -1 +1 @@
-"""See the modules of this package."""
+"""Preparation of text for language models; nothing else in the library imports this package."""
