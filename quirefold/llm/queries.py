@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirefold.llm import boilerplate, encoding, leakage, mojibake
+from quirefold.llm import boilerplate, encoding, leakage, mojibake, names
+from quirefold.operators import packed
 from quirefold.session import table
 
 
+def _spellings(spark: SparkSession, d: str) -> DataFrame:
+    fields = packed.packed_fields(table(spark, d, "documents"), table(spark, d, "document_metadata")).filter(F.col("field_name").isin("authors", "affiliations"))
+    kind = F.when(F.col("field_name") == "authors", "author").otherwise("affiliation").alias("kind")
+    return packed.split_packed(fields).groupBy(kind, F.col("item").alias("name")).agg(F.count("*").alias("n"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.spelling_pairs(names.link(_spellings(spark, d)))
+
+
+def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """One row per spelling with the cluster it belongs to."""
+    return names.link(_spellings(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.found(table(spark, d, "page_contents"), table(spark, d, "documents"))
 
@@ -39,6 +55,8 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p5_found": p5_found,
+    "p5_clusters": p5_clusters,
     "p7_found": p7_found,
     "p7_cleaned": p7_cleaned,
     "p8_ids": p8_ids,
