@@ -5,7 +5,8 @@ every window of ``WINDOW`` consecutive k-grams the least hash is kept as a finge
 GRAM + WINDOW - 1 consecutive words always share a fingerprint. A hit gives a diagonal (the distance between the two
 places); every distinct diagonal of a document and an item is extended over the words themselves: a run of ``RUN``
 words or more, or the whole passage with at most one word in ``SPARE`` replaced, is a leak. With at most n // 8 words
-of n replaced, some stretch of at least 5 words stays for every n from 16 on, so the guarantee covers both cases.
+of n replaced, some stretch of at least 6 words stays for every n from 18 on, so the guarantee covers both cases;
+shorter passages are compared at every place.
 
 Items are a bounded set: their fingerprints go to the executors in blocks of ``BLOCK`` items; documents stay where they
 are, whole, and each block passes over all of them without a shuffle.
@@ -27,20 +28,35 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-GRAM, WINDOW, RUN, SPARE = 4, 2, 14, 8
+GRAM, WINDOW, RUN, SPARE = 5, 2, 14, 8
+#: Words below which a passage is compared at every place of a text, not by fingerprints.
+SHORT = 18
+#: Diagonals extended at once.
+STRIDE = 2048
 #: Items whose fingerprints are sent to the executors at once.
 BLOCK = 20_000
+#: Pieces of text kept per Python worker once taken apart; beyond it the memo starts anew, which costs time only.
+MEMO = 500_000
 
 _BREAK = re.compile(r"[\s–—―/|…​﻿]+")
 _MARKS = re.compile(r"[^\w]|_")
-_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
+_MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1 for k in range(8)], dtype=np.uint64)
+
+
+def _pieces(text: str) -> list[str]:
+    """What stands between blanks, in one Unicode form and without case."""
+    if not text.isascii() and not unicodedata.is_normalized("NFKC", text):
+        text = unicodedata.normalize("NFKC", text)
+    return text.casefold().split()
+
+
+def _words(piece: str) -> list[str]:
+    return [w for w in (_MARKS.sub("", p) for p in _BREAK.split(piece)) if w]
 
 
 def words_of(text: str) -> list[str]:
     """The words of a text without case, punctuation and spacing."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-    return [w for w in (_MARKS.sub("", p) for p in _BREAK.split(text.casefold())) if w]
+    return [w for p in _pieces(text) for w in _words(p)]
 
 
 def gram_hashes(ids: np.ndarray) -> np.ndarray:
@@ -48,12 +64,11 @@ def gram_hashes(ids: np.ndarray) -> np.ndarray:
     n = len(ids) - GRAM + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    v = ids.astype(np.uint64) + np.uint64(1)
-    h = np.zeros(n, np.uint64)
-    for k in range(GRAM):
-        h = (h ^ (v[k : k + n] * _MIX[k])) * _MIX[3]
-        h ^= h >> np.uint64(29)
-    return h
+    v = ids.view(np.uint64) + np.uint64(1)
+    h = v[:n] * _MIX[0]
+    for k in range(1, GRAM):
+        h = (h ^ (v[k : k + n] * _MIX[k])) * _MIX[7]
+    return h ^ (h >> np.uint64(29))
 
 
 def winnow(hashes: np.ndarray) -> np.ndarray:
@@ -61,8 +76,15 @@ def winnow(hashes: np.ndarray) -> np.ndarray:
     n = len(hashes)
     if n <= WINDOW:
         return np.array([n - 1 - int(np.argmin(hashes[::-1]))]) if n else np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
-    return np.unique(np.arange(len(views)) + WINDOW - 1 - np.argmin(views[:, ::-1], axis=1))
+    least = np.zeros(n - WINDOW + 1, np.int64)  # the place of the least hash of each window, counted from its end
+    best = hashes[WINDOW - 1 :].copy()
+    for back in range(1, WINDOW):
+        other = hashes[WINDOW - 1 - back : n - back]
+        least[other < best] = back
+        np.minimum(best, other, out=best)
+    kept = np.zeros(n, bool)
+    kept[np.arange(WINDOW - 1, n) - least] = True
+    return np.flatnonzero(kept)
 
 
 class Fingerprints:
@@ -70,6 +92,7 @@ class Fingerprints:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.vocabulary: dict[str, int] = {}
+        self.memo: dict[str, int | tuple[int, ...]] = {}
         self.items: list[tuple[int, np.ndarray]] = []
         places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for item_id, passage in items:
@@ -80,39 +103,58 @@ class Fingerprints:
             hashes = gram_hashes(ids)
             for at in winnow(hashes):
                 places[int(hashes[at])].append((len(self.items) - 1, int(at)))
-        self.short = [k for k, (_, ids) in enumerate(self.items) if len(ids) < GRAM + WINDOW - 1]
+        self.short = [k for k, (_, ids) in enumerate(self.items) if len(ids) < SHORT]
+        self.sizes = np.array([len(ids) for _, ids in self.items], np.int64)
+        self.passages = np.full((len(self.items), int(self.sizes.max(initial=1))), -2, np.int64)
+        for k, (_, ids) in enumerate(self.items):
+            self.passages[k, : len(ids)] = ids
         self.places = dict(places)
         self.known = np.sort(np.fromiter(self.places, np.uint64, len(self.places)))
 
+    def numbers(self, text: str) -> np.ndarray:
+        """The word numbers of a text, -1 for words of no item; a piece between blanks is taken apart once."""
+        memo, out = self.memo, []
+        for piece in _pieces(text):
+            known = memo.get(piece)
+            if known is None:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                known = [self.vocabulary.get(w, -1) for w in _words(piece)]
+                known = memo[piece] = known[0] if len(known) == 1 else tuple(known)
+            if known.__class__ is int:
+                out.append(known)
+            else:
+                out.extend(known)
+        return np.array(out, np.int64)
+
     def leaks(self, text: str) -> set[int]:
         """The items that leak into ``text``."""
-        get = self.vocabulary.get
-        ids = np.array([get(w, -1) for w in words_of(text)], np.int64)
+        ids = self.numbers(text)
         found: set[int] = set()
         if len(ids) >= GRAM and len(self.known):
             hashes = gram_hashes(ids)
             at = winnow(hashes)
             spot = np.minimum(np.searchsorted(self.known, hashes[at]), len(self.known) - 1)
-            diagonals = {(item, int(p) - q) for p in at[self.known[spot] == hashes[at]] for item, q in self.places[int(hashes[p])]}
-            for item, shift in diagonals:
-                if self.items[item][0] not in found and self._extends(ids, self.items[item][1], shift):
-                    found.add(self.items[item][0])
-        for item in self.short:  # too short for a fingerprint of every window: compared as they are
+            diagonals = list({(item, int(p) - q) for p in at[self.known[spot] == hashes[at]] for item, q in self.places[int(hashes[p])]})
+            for k in range(0, len(diagonals), STRIDE):
+                found |= self._extended(ids, np.array(diagonals[k : k + STRIDE], np.int64))
+        for item in self.short:
             passage = self.items[item][1]
-            if len(ids) >= len(passage) and (np.lib.stride_tricks.sliding_window_view(ids, len(passage)) == passage).all(axis=1).any():
+            if len(ids) >= len(passage) and ((np.lib.stride_tricks.sliding_window_view(ids, len(passage)) != passage).sum(axis=1) <= len(passage) // SPARE).any():
                 found.add(self.items[item][0])
         return found
 
-    @staticmethod
-    def _extends(ids: np.ndarray, passage: np.ndarray, shift: int) -> bool:
-        """Whether the passage laid on the text at ``shift`` has a long enough run, or lies there whole but for few words."""
-        first, last = max(0, -shift), min(len(passage), len(ids) - shift)
-        same = ids[first + shift : last + shift] == passage[first:last]
-        if len(same) == len(passage) and int((~same).sum()) <= len(passage) // SPARE:
-            return True
-        edges = np.flatnonzero(~same)
-        runs = np.diff(np.concatenate(([-1], edges, [len(same)]))) - 1
-        return bool(runs.max(initial=0) >= RUN)
+    def _extended(self, ids: np.ndarray, diagonals: np.ndarray) -> set[int]:
+        """The items whose passages, laid on the text at their shifts, have a long enough run or lie there whole but for few words."""
+        item, shift = diagonals[:, 0], diagonals[:, 1]
+        width = self.passages.shape[1]
+        padded = np.concatenate((np.full(width, -3), ids, np.full(width, -3)))
+        same = padded[shift[:, None] + width + np.arange(width)] == self.passages[item]
+        sizes = self.sizes[item]
+        whole = (shift >= 0) & (shift + sizes <= len(ids)) & (sizes - same.sum(axis=1) <= sizes // SPARE)
+        count = np.cumsum(same, axis=1)
+        run = (count - np.maximum.accumulate(np.where(same, 0, count), axis=1)).max(axis=1)
+        return {self.items[k][0] for k in item[whole | (run >= RUN)]}
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", passage_column: str = "passage") -> DataFrame:
