@@ -1,7 +1,7 @@
 """Problem 7: lines repeated across the documents of one source, and the pages' texts without them.
 
-Each line is normalised (letter case, digits, spacing and punctuation removed; letters that scanners confuse folded into
-one class, so most misread copies meet in one hash) and hashed. Distinct documents per source and hash are counted with
+Each line is normalised (letter case, digits, spacing and punctuation removed, and the letters that scanners confuse, so
+that most misread copies meet in one hash) and hashed. Distinct documents per source and hash are counted with
 two partial aggregations, so that a hot source costs no more per task than another. Hashes shared by ``HEADS`` documents
 or more become heads; every long line is held against the heads of its source that share its hash or one of four anchors
 with it (its beginning, its end and the stretch next to each) and joins the best one within a few edits. Heads whose lines
@@ -22,12 +22,21 @@ from quirefold.session import bounded_broadcast, cut
 FIELDS = ("header_text", "footer_text", "body_text")
 #: Documents of a source in which a line must lie; and the least share of the source's documents (none asked here).
 MIN_DOCUMENTS, MIN_SHARE = 6, 0.0
-#: Documents from which a hash can gather misread copies.
-HEADS = 2
+#: Documents from which a hash can gather misread copies: two thirds of MIN_DOCUMENTS. (Copies of whole documents make
+#: every line of theirs occur two or three times; these are no heads.)
+HEADS = 4
 #: Letters from which a line is folded and matched approximately, and the length of an anchor.
 LONG, ANCHOR = 16, 8
-#: Letters that scanners confuse, each class written as its first letter. Fixed values.
-CONFUSED = "ijlt1|f,ecoa,hb,gq,sz,uvyn,을올,를름"
+#: Characters up to which a line is held against NOT_LINES; none of its forms has more.
+SHORT = 60
+#: Letters that the hash must rest on.
+SKELETON = 7
+#: Edits beyond which two keys are never compared to the end.
+FAR = 12
+#: What the hash of a line leaves out: everything but letters, and every letter that takes part in a common misreading
+#: (c for e, l or 1 for i, f for t, 5 for s, 0 for o, ii for u, cl for d, rn for m, b or 6 for h, vv for w, 9 for g, ...),
+#: so that misread copies of a line have its hash; f counts as t. Fixed values.
+LEFT_OUT = r"[^\p{L}]+|[bcdeéghilmnorsuvw을올를름]+"
 #: Lines with nothing but a page number or an asset reference. Fixed values.
 NOT_LINES = r"(?iU)^[\s\W_]*(?:p(?:age|g)?|s(?:eite)?|pág(?:ina)?|쪽|페이지|ページ|頁)?[\s.\-–—:]*(?:\d{1,5}|[ivxlc]{1,7})[\s\W_]*(?:(?:/|of|von|de|sur|중)\s*\d{1,5})?[\s\W_]*(?:쪽|페이지|ページ|頁)?[\s\W_]*$|^\W*\[(?:TABLE|FIGURE)_\d+\]\W*$"
 
@@ -37,24 +46,25 @@ def letters(line: Column) -> Column:
     return F.lower(F.regexp_replace(line, r"[^\p{L}\p{M}]+", ""))
 
 
-def folded(key: Column) -> Column:
-    """``key`` with confusable letters folded; keys shorter than LONG stay as they are."""
-    source, target = "", ""
-    for group in CONFUSED.split(","):
-        source, target = source + group[1:], target + group[0] * (len(group) - 1)
-    loose = F.regexp_replace(F.regexp_replace(key, "rn|nn", "m"), "vv", "w")
-    return F.when(F.length(key) >= LONG, F.translate(F.regexp_replace(loose, "ii|li|il|ll", "u"), source, target)).otherwise(key)
+def line_hash(line: Column) -> Column:
+    """Hash of what no misreading changes; of all letters where less than ``SKELETON`` of that is left."""
+    skeleton = F.translate(F.regexp_replace(F.lower(line), LEFT_OUT, ""), "f", "t")
+    return F.xxhash64(F.when(F.length(skeleton) >= SKELETON, skeleton).otherwise(letters(line)))
 
 
-def page_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
-    """(page_id, document_id, source, field_name, line_no, key) of the lines that can be boilerplate."""
-    sources = documents.filter(F.col("source").isNotNull()).select(F.col("doc_id").alias("document_id"), "source")
-    owned = pages.select(F.col("id").alias("page_id"), "document_id", *FIELDS).join(sources, "document_id")
+def page_lines(pages: DataFrame) -> DataFrame:
+    """(page_id, document_id, field_name, line_no, line) of the lines that can be boilerplate; further columns of ``pages`` named source stay."""
+    keep = ["document_id", *(["source"] if "source" in pages.columns else [])]
+    owned = pages.filter(F.col("document_id").isNotNull()).select(F.col("id").alias("page_id"), *keep, *FIELDS)
     parts = F.array(*[F.struct(F.lit(f).alias("field_name"), F.split(F.col(f), "\n").alias("lines")) for f in FIELDS])
-    long = owned.select("page_id", "document_id", "source", F.inline(parts)).filter(F.col("lines").isNotNull())
-    lines = long.select("page_id", "document_id", "source", "field_name", F.posexplode("lines").alias("line_no", "line"))
-    keyed = lines.withColumn("key", letters("line")).filter((F.col("key") != "") & ~F.col("line").rlike(NOT_LINES))
-    return keyed.drop("line")
+    long = owned.select("page_id", *keep, F.inline(parts)).filter(F.col("lines").isNotNull())
+    lines = long.select("page_id", *keep, "field_name", F.posexplode("lines").alias("line_no", "line"))
+    return lines.filter(F.col("line").rlike(r"\p{L}") & ~((F.length("line") <= SHORT) & F.col("line").rlike(NOT_LINES)))
+
+
+def owners(documents: DataFrame) -> DataFrame:
+    """(document_id, source) of the documents that have a source."""
+    return documents.filter(F.col("source").isNotNull()).select(F.col("doc_id").alias("document_id"), "source")
 
 
 def _entries(key: Column, digest: Column) -> Column:
@@ -72,19 +82,28 @@ def _entries(key: Column, digest: Column) -> Column:
 def _close(a: Column, b: Column) -> Column:
     """Whether two keys differ by a few edits only."""
     allowed = F.greatest(F.lit(2), F.floor(F.length(b) * 0.06)).cast("int")
-    return (F.abs(F.length(a) - F.length(b)) <= allowed) & (F.levenshtein(a, b) <= allowed)
+    return (F.abs(F.length(a) - F.length(b)) <= F.least(allowed, F.lit(FAR))) & F.levenshtein(a, b, FAR).between(0, allowed)
 
 
-def line_heads(lines: DataFrame) -> DataFrame:
-    """(source, head, n, head_key, root): the hashes that several documents of a source share, and the head each belongs to.
+def shared_lines(pages: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
+    """(source, hash, n, page_id): the line hashes that ``least`` or more documents of a source have, and a page that has it.
 
-    A head within a few edits of one with more documents belongs to that one.
+    The texts stay where they are: only distinct (document, hash) rows meet the documents' sources.
     """
-    hashed = lines.withColumn("hash", F.xxhash64(folded(F.col("key"))))
-    counted = hashed.select("source", "hash", "document_id").distinct().groupBy("source", "hash").agg(F.count("*").alias("n"))
-    shared = cut(counted.filter(F.col("n") >= HEADS))
-    keys = hashed.join(bounded_broadcast(shared), ["source", "hash"]).groupBy("source", "hash").agg(F.min("key").alias("head_key"), F.max("n").alias("n"))
-    heads = cut(keys.withColumnRenamed("hash", "head"))
+    seen = page_lines(pages).select("document_id", "page_id", line_hash(F.col("line")).alias("hash")).groupBy("document_id", "hash").agg(F.min("page_id").alias("page_id"))
+    return seen.join(owners(documents), "document_id").groupBy("source", "hash").agg(F.count("*").alias("n"), F.min("page_id").alias("page_id")).filter(F.col("n") >= least)
+
+
+def line_heads(pages: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
+    """(source, head, n, head_key): the hashes that several documents of a source share, with their letters, read from one page each."""
+    shared = cut(shared_lines(pages, documents, least))
+    told = pages.join(bounded_broadcast(shared.select(F.col("page_id").alias("id")).distinct()), "id", "left_semi")
+    keys = page_lines(told).select("page_id", line_hash(F.col("line")).alias("hash"), letters(F.col("line")).alias("key")).groupBy("page_id", "hash").agg(F.min("key").alias("head_key"))
+    return shared.join(keys, ["page_id", "hash"]).select("source", F.col("hash").alias("head"), "n", "head_key")
+
+
+def _roots(heads: DataFrame) -> DataFrame:
+    """``heads`` with ``root``: a head within a few edits of one of its source with more documents belongs to that one."""
     entries = heads.withColumn("e", F.explode(_entries(F.col("head_key"), F.col("head")))).filter("e.spot > 0").select("source", "head", "n", "head_key", "e.spot", "e.anchor")
     other = entries.select("source", "spot", "anchor", F.col("head").alias("to"), F.col("n").alias("to_n"), F.col("head_key").alias("to_key"))
     better = (F.col("to_n") > F.col("n")) | ((F.col("to_n") == F.col("n")) & (F.col("to") < F.col("head")))
@@ -92,26 +111,38 @@ def line_heads(lines: DataFrame) -> DataFrame:
     return heads.join(moved, ["source", "head"], "left").withColumn("root", F.coalesce("root", "head"))
 
 
-def matched_lines(lines: DataFrame) -> DataFrame:
-    """(page_id, document_id, source, field_name, line_no, root) of every line that is, exactly or nearly, that of a head."""
-    heads = cut(line_heads(lines))
+def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
+    """(page_id, document_id, source, field_name, line_no, root) of every line that is, exactly or nearly, that of a head of its source."""
+    heads = cut(_roots(cut(line_heads(pages, documents))))
+    longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
     known = heads.withColumn("e", F.explode(_entries(F.col("head_key"), F.col("head")))).select("source", "head_key", "n", "root", "e.spot", "e.anchor")
-    digest = F.xxhash64(folded(F.col("key")))
-    looked = lines.withColumn("e", F.explode(_entries(F.col("key"), digest))).select("page_id", "document_id", "source", "field_name", "line_no", "key", "e.spot", "e.anchor")
-    hits = looked.join(bounded_broadcast(known), ["source", "spot", "anchor"]).filter((F.col("spot") == 0) | _close(F.col("key"), F.col("head_key")))
-    best = F.max_by("root", F.struct(F.when(F.col("spot") == 0, 1).otherwise(0), "n", "root"))
+    owned = page_lines(pages.join(owners(documents), "document_id"))
+    # a line that has a head's hash is that head's; only the rest looks for anchors
+    exact = bounded_broadcast(heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root")))
+    marked = owned.withColumn("hash", line_hash(F.col("line"))).join(exact, ["source", "hash"], "left")
+    key = F.when(F.col("own_root").isNull() & (F.length("line") <= longest * 2 + 40), letters(F.col("line")))
+    keyed = marked.withColumn("key", key).filter(F.col("own_root").isNotNull() | (F.length("key").between(LONG, longest + FAR)))
+    entries = F.when(F.col("own_root").isNull(), F.filter(_entries(F.col("key"), F.col("hash")), lambda e: e.spot > 0)).otherwise(F.array(F.struct(F.lit(-1).alias("spot"), F.col("hash").alias("anchor"))))
+    looked = keyed.withColumn("e", F.explode(entries)).select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", "e.spot", "e.anchor")
+    hits = looked.join(bounded_broadcast(known.filter("spot > 0")), ["source", "spot", "anchor"], "left").filter(F.col("own_root").isNotNull() | _close(F.col("key"), F.col("head_key")))
+    best = F.coalesce(F.max("own_root"), F.max_by("root", F.struct("n", "root")))
     return hits.groupBy("page_id", "field_name", "line_no").agg(F.first("document_id").alias("document_id"), F.first("source").alias("source"), best.alias("root"))
 
 
-def found(pages: DataFrame, documents: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE) -> DataFrame:
-    """(page_id, field_name, line_no) of every boilerplate line."""
-    matched = cut(matched_lines(page_lines(pages, documents)))
+def found(pages: DataFrame, documents: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE, approximate: bool = True) -> DataFrame:
+    """(page_id, field_name, line_no) of every boilerplate line; without ``approximate`` of those with equal hashes only."""
+    if not approximate:
+        lines = page_lines(pages).select("page_id", "document_id", "field_name", "line_no", line_hash(F.col("line")).alias("hash"))
+        shared = cut(shared_lines(pages, documents, min_documents).select("source", "hash"))
+        near = lines.join(bounded_broadcast(shared.select("hash").distinct()), "hash").join(owners(documents), "document_id")
+        return near.join(bounded_broadcast(shared), ["source", "hash"]).select("page_id", "field_name", "line_no").distinct()
+    matched = cut(matched_lines(pages, documents))
     total = matched.select("source", "root", "document_id").distinct().groupBy("source", "root").agg(F.count("*").alias("n"))
     if min_share > 0:
         size = documents.filter(F.col("source").isNotNull()).groupBy("source").agg(F.countDistinct("doc_id").alias("of"))
         total = total.join(size, "source").filter(F.col("n") >= F.col("of") * min_share)
     kept = total.filter(F.col("n") >= min_documents).select("source", "root")
-    return matched.join(bounded_broadcast(kept), ["source", "root"]).select("page_id", "field_name", "line_no")
+    return matched.join(bounded_broadcast(kept), ["source", "root"]).select("page_id", "field_name", "line_no").distinct()
 
 
 def cleaned(pages: DataFrame, documents: DataFrame) -> DataFrame:
