@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirefold.llm import boilerplate, encoding, leakage, mojibake, names
+from quirefold.llm import boilerplate, encoding, languages, leakage, mojibake, names
 from quirefold.operators import packed
 from quirefold.session import table
 
 
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    return languages.segments(documents, table(spark, d, "page_contents"), languages.train(documents), mojibake.train_dictionaries(documents))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.mislabelled(table(spark, d, "documents"), table(spark, d, "page_contents"), _segments(spark, d))
+
+
+def p3_languages(spark: SparkSession, d: str) -> DataFrame:
+    """The languages of each document with confidence, letters and segments."""
+    return languages.document_languages(table(spark, d, "documents"), _segments(spark, d))
+
+
+def p3_segments(spark: SparkSession, d: str) -> DataFrame:
+    """The language of each segment with its confidence."""
+    return _segments(spark, d)
+
+
 def _spellings(spark: SparkSession, d: str) -> DataFrame:
     fields = packed.packed_fields(table(spark, d, "documents"), table(spark, d, "document_metadata")).filter(F.col("field_name").isin("authors", "affiliations"))
     kind = F.when(F.col("field_name") == "authors", "author").otherwise("affiliation").alias("kind")
@@ -55,6 +74,9 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found,
+    "p3_languages": p3_languages,
+    "p3_segments": p3_segments,
     "p5_found": p5_found,
     "p5_clusters": p5_clusters,
     "p7_found": p7_found,
