@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirefold.llm import boilerplate, encoding, languages, leakage, mojibake, names
+from quirefold.llm import boilerplate, encoding, languages, leakage, mojibake, names, scans
 from quirefold.operators import packed
 from quirefold.session import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.found(*(table(spark, d, t) for t in ("page_contents", "document_assets", "documents", "document_metadata")))
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every scanned text as continuous paragraphs."""
+    return scans.repaired(*(table(spark, d, t) for t in ("page_contents", "document_assets", "documents", "document_metadata")))
+
+
 def _segments(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents")
     return languages.segments(documents, table(spark, d, "page_contents"), languages.train(documents), mojibake.train_dictionaries(documents))
@@ -74,6 +83,8 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_repaired": p1_repaired,
     "p3_found": p3_found,
     "p3_languages": p3_languages,
     "p3_segments": p3_segments,
