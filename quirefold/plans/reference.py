@@ -1,6 +1,8 @@
-"""The queries of the document-pipeline operators and their SQL."""
+"""The queries of the document-pipeline operators and their SQL, from the modules beside this one."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from quirefold.plans import boxes, catalog, texts
+
+QUERIES = {**catalog.QUERIES, **texts.QUERIES, **boxes.QUERIES}
+SQL = {**catalog.SQL, **texts.SQL, **boxes.SQL}
