@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quirefold.plans import boxes, catalog, texts
+from quirefold.plans import boxes, catalog, edges, texts
 
-QUERIES = {**catalog.QUERIES, **texts.QUERIES, **boxes.QUERIES}
-SQL = {**catalog.SQL, **texts.SQL, **boxes.SQL}
+QUERIES = {**catalog.QUERIES, **texts.QUERIES, **boxes.QUERIES, **edges.QUERIES}
+SQL = {**catalog.SQL, **texts.SQL, **boxes.SQL, **edges.SQL}
