@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,20 @@ def build_session(app: str = "quirefold", cpus: str = "*", shuffle_partitions: i
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per context, so that workers can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_quirefold_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="quirefold-code-")) / "quirefold.zip"
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(packed))
+    context._quirefold_shipped = True
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """The table ``name`` of a data folder."""
     return spark.read.parquet(f"{base}/{name}.parquet")
