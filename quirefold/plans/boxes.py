@@ -284,3 +284,10 @@ def watermark_filter(s, d):
 def body_font_size(s, d):
     n = assets(s, d).filter("bbox_y0 IS NOT NULL").groupBy("document_id", F.round((F.col("bbox_y1") - F.col("bbox_y0")) / 10, 0).alias("size")).agg(F.count("*").alias("n"))
     return n.groupBy("document_id").agg(F.max_by("size", F.struct("n", -F.col("size"))).alias("size"))
+
+
+@query("words_one_line", f"WITH {WORDS}, l AS (SELECT doc_id, page_num, round_even(top / 5, 0) * 5 AS line, string_agg(text, ' ' ORDER BY x0, word_no) AS t FROM words GROUP BY ALL) SELECT doc_id, page_num, string_agg(t, ' | ' ORDER BY line) AS text FROM l GROUP BY ALL")
+def words_one_line(s, d):
+    from quirefold.operators.viewer import words_one_line as joined
+
+    return joined(words(s, d))

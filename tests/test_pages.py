@@ -97,3 +97,26 @@ def test_image_kernels():
     assert images.mask_or(np.array([True, False]), np.array([False, False])).tolist() == [True, False]
     assert images.crop(bars, 10, 20, 30, 50).shape == (30, 20)
     assert images.render(pd.DataFrame({"x0": [0.0], "x1": [50.0], "top": [0.0], "bottom": [10.0]}), 100, 100, 1.0)[5, 10] == 20
+
+
+def test_viewer_tools(spark):
+    from quirefold.operators import viewer as V
+
+    assert V.strip_captions("A sentence is\nFigure 1. A map\ngoing on.") == "A sentence is going on."
+    assert V.strip_captions("Done.\nTable 2: x\nNext") == "Done.\nNext"
+    assert V.paragraphs_reflow("a bro-\nken\nline\n\n\nnext") == "a broken line\n\nnext"
+    assert V.wrap("aa bb cc dddddddd", 5) == ["aa bb", "cc", "ddddd", "ddd"] and V.wrap("") == []
+    assert V.align_rows(["a b", "", "c d"], list("wxyz!")) == ["w x", "", "y z !"]
+    table = V.markdown_table([["a|b", "c"], ["d"]], ["x", "y"])
+    assert V.parse_markdown(table) == [["x", "y"], ["a|b", "d"], ["c", ""]]
+    df = spark.createDataFrame([(1, "A", b"x"), (2, "?", b"y"), (3, "A", b"bad")], "doc_id long, strategy string, content binary")
+
+    def engine(content):
+        if content == b"bad":
+            raise ValueError("no")
+        return content.decode().upper()
+
+    rows = V.extract_by_strategy(df, {"A": engine, "B": lambda c: "b"}, "B").collect()
+    assert {r.doc_id: (r.text, r.error is None) for r in rows} == {1: ("X", True), 2: ("b", True), 3: ("", False)}
+    config = V.Config.load({"inbox": "in", "junk": 1}, {"QUIREFOLD_ATTEMPTS": "5"})
+    assert config.inbox == "in" and config.attempts == 5 and config.problems() == ["workspace is not set"]
