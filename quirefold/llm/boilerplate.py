@@ -3,7 +3,7 @@
 Each line is normalised (letter case, digits, spacing and punctuation removed, and the letters that scanners confuse, so
 that most misread copies meet in one hash) and hashed. Distinct documents per source and hash are counted with
 two partial aggregations, so that a hot source costs no more per task than another. Hashes shared by ``HEADS`` documents
-or more become heads; every long line is held against the heads of its source that share its hash or one of four anchors
+or more become heads; a line with a head's hash must also be the head's but for few edits, every other long line is held against the heads of its source that share its hash or one of four anchors
 with it (its beginning, its end and the stretch next to each) and joins the best one within a few edits. Heads whose lines
 lie in at least ``min_documents`` documents and in at least ``min_share`` of the source's documents are boilerplate.
 
@@ -79,10 +79,10 @@ def _entries(key: Column, digest: Column) -> Column:
     return F.when(n >= LONG, F.array(exact, *anchored)).otherwise(F.array(exact))
 
 
-def _close(a: Column, b: Column) -> Column:
-    """Whether two keys differ by a few edits only."""
-    allowed = F.greatest(F.lit(2), F.floor(F.length(b) * 0.06)).cast("int")
-    return (F.abs(F.length(a) - F.length(b)) <= F.least(allowed, F.lit(FAR))) & F.levenshtein(a, b, FAR).between(0, allowed)
+def _close(a: Column, b: Column, share: float = 0.06, far: int = FAR) -> Column:
+    """Whether two keys differ by a few edits only: two, or ``share`` of the letters up to ``far``."""
+    allowed = F.least(F.greatest(F.lit(2), F.floor(F.length(b) * share)), F.lit(far)).cast("int")
+    return (F.abs(F.length(a) - F.length(b)) <= allowed) & F.levenshtein(a, b, far).between(0, allowed)
 
 
 def shared_lines(pages: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
@@ -117,11 +117,12 @@ def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
     known = heads.withColumn("e", F.explode(_entries(F.col("head_key"), F.col("head")))).select("source", "head_key", "n", "root", "e.spot", "e.anchor")
     owned = page_lines(pages.join(owners(documents), "document_id"))
-    # a line that has a head's hash is that head's; only the rest looks for anchors
-    exact = bounded_broadcast(heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root")))
+    # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for anchors
+    exact = bounded_broadcast(heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key")))
     marked = owned.withColumn("hash", line_hash(F.col("line"))).join(exact, ["source", "hash"], "left")
-    key = F.when(F.col("own_root").isNull() & (F.length("line") <= longest * 2 + 40), letters(F.col("line")))
-    keyed = marked.withColumn("key", key).filter(F.col("own_root").isNotNull() | (F.length("key").between(LONG, longest + FAR)))
+    key = F.when(F.col("own_root").isNotNull() | (F.length("line") <= longest * 2 + 40), letters(F.col("line")))
+    keyed = marked.withColumn("key", key).withColumn("own_root", F.when(_close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root")))
+    keyed = keyed.filter(F.col("own_root").isNotNull() | (F.length("key").between(LONG, longest + FAR)))
     entries = F.when(F.col("own_root").isNull(), F.filter(_entries(F.col("key"), F.col("hash")), lambda e: e.spot > 0)).otherwise(F.array(F.struct(F.lit(-1).alias("spot"), F.col("hash").alias("anchor"))))
     looked = keyed.withColumn("e", F.explode(entries)).select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", "e.spot", "e.anchor")
     hits = looked.join(bounded_broadcast(known.filter("spot > 0")), ["source", "spot", "anchor"], "left").filter(F.col("own_root").isNotNull() | _close(F.col("key"), F.col("head_key")))
