@@ -163,11 +163,15 @@ def body_start(s, d):
     return L.body_start(L.two_sided(w, L.column_gap(w, WIDTH)), HEIGHT)
 
 
-@query("footnote_start", f"WITH {WORDS}, keyed AS (SELECT doc_id, page_num, {LINE} AS line FROM words WHERE word_no % 400 NOT BETWEEN 240 AND 263 GROUP BY ALL), jumps AS (SELECT *, line - lag(line) OVER (PARTITION BY doc_id, page_num ORDER BY line) AS jump FROM keyed) SELECT doc_id, page_num, min(line) AS foot_y FROM jumps WHERE line > {HEIGHT} * 0.5 AND jump > 35 GROUP BY ALL")
+_LOWERED = "top + CASE WHEN word_no % 400 >= 264 THEN 40 ELSE 0 END"
+
+
+@query("footnote_start", f"WITH {WORDS}, keyed AS (SELECT doc_id, page_num, {LINE.replace('top', f'({_LOWERED})')} AS line FROM words GROUP BY ALL), jumps AS (SELECT *, line - lag(line) OVER (PARTITION BY doc_id, page_num ORDER BY line) AS jump FROM keyed) SELECT doc_id, page_num, min(line) AS foot_y FROM jumps WHERE line > {HEIGHT} * 0.5 AND jump > 35 GROUP BY ALL")
 def footnote_start(s, d):
-    """With three lines left out below the middle of each page, so that there is a jump."""
-    kept = words(s, d).filter("word_no % 400 NOT BETWEEN 240 AND 263").groupBy("doc_id", "page_num", L.line_key(F.col("top")).alias("line")).agg(F.lit(1).alias("one"))
-    return L.footnote_start(kept, HEIGHT)
+    """With the lowest lines of each page set down by forty points, so that there is a jump."""
+    top = F.when(F.col("word_no") % 400 >= 264, F.col("top") + 40).otherwise(F.col("top"))
+    lines = words(s, d).groupBy("doc_id", "page_num", L.line_key(top).alias("line")).agg(F.lit(1).alias("one"))
+    return L.footnote_start(lines, HEIGHT)
 
 
 @query("compose_multicol")
