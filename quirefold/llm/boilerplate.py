@@ -117,11 +117,13 @@ def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
     known = heads.withColumn("e", F.explode(_entries(F.col("head_key"), F.col("head")))).select("source", "head_key", "n", "root", "e.spot", "e.anchor")
     owned = page_lines(pages.join(owners(documents), "document_id"))
+    # hash and letters are made once per line: a generator keeps them from being copied into every use
+    made = F.struct(line_hash(F.col("line")).alias("hash"), F.when(F.length("line") <= longest * 2 + 40, letters(F.col("line"))).alias("key"))
+    owned = owned.withColumn("made", F.explode(F.array(made))).select("page_id", "document_id", "source", "field_name", "line_no", "made.hash", "made.key")
     # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for anchors
     exact = bounded_broadcast(heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key")))
-    marked = owned.withColumn("hash", line_hash(F.col("line"))).join(exact, ["source", "hash"], "left")
-    key = F.when(F.col("own_root").isNotNull() | (F.length("line") <= longest * 2 + 40), letters(F.col("line")))
-    keyed = marked.withColumn("key", key).withColumn("own_root", F.when(_close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root")))
+    marked = owned.join(exact, ["source", "hash"], "left")
+    keyed = marked.withColumn("own_root", F.when(F.col("own_root").isNotNull() & _close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root"))).drop("own_key")
     keyed = keyed.filter(F.col("own_root").isNotNull() | (F.length("key").between(LONG, longest + FAR)))
     entries = F.when(F.col("own_root").isNull(), F.filter(_entries(F.col("key"), F.col("hash")), lambda e: e.spot > 0)).otherwise(F.array(F.struct(F.lit(-1).alias("spot"), F.col("hash").alias("anchor"))))
     looked = keyed.withColumn("e", F.explode(entries)).select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", "e.spot", "e.anchor")
