@@ -39,15 +39,15 @@ BLOCK = 20_000
 MEMO = 500_000
 
 _BREAK = re.compile(r"[\s–—―/|…​﻿]+")
-_MARKS = re.compile(r"[^\w]|_")
+_MARKS = re.compile(r"[^\w%]|_")
 _MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1 for k in range(8)], dtype=np.uint64)
 
 
 def _pieces(text: str) -> list[str]:
-    """What stands between blanks, in one Unicode form and without case."""
+    """What stands between blanks, in one Unicode form and without case; a percent sign stands alone and counts as a word."""
     if not text.isascii() and not unicodedata.is_normalized("NFKC", text):
         text = unicodedata.normalize("NFKC", text)
-    return text.casefold().split()
+    return (text.replace("%", " % ") if "%" in text else text).casefold().split()
 
 
 def _words(piece: str) -> list[str]:
