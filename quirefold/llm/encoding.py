@@ -1,11 +1,11 @@
 """Problem 8: the token ids of every text by a public byte-level BPE tokenizer.
 
 The merges are compiled into a finite-state transducer that reads the bytes of a pre-token. A state holds what later
-bytes can still depend on: for each of the last L positions (L: the longest token) the last token of the encoding of
-the prefix that ends there. An encoding is the only token sequence whose adjacent pairs are each what BPE makes of their
+bytes can still depend on: the longest suffix that begins a longer token, and the last token of the encoding of each
+prefix that ends in it. An encoding is the only token sequence whose adjacent pairs are each what BPE makes of their
 bytes, so the last token of the next prefix is the longest vocabulary suffix that agrees with the prefix before it.
 States are determinised lazily: the arcs of a state are made when a text first takes them, and equal states are one.
-Emission has bounded lookahead: what lies more than L bytes back is final.
+Emission has bounded lookahead: what lies before the live suffix is final.
 
 Texts are read in one streaming pass: the pre-token pattern cuts them, each pre-token is looked up in the transducer's
 memo of finished paths and run through the arcs only when it is new. ``decode`` streams the other way by an incremental
@@ -32,7 +32,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Finished pre-tokens kept per Python worker; beyond it the memo starts anew, which costs time only.
 MEMO = 400_000
 #: States kept per Python worker; beyond it they are made anew.
-STATES = 200_000
+STATES = 50_000
 #: Where the public vocabulary files lie unless told otherwise.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -43,7 +43,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {i: b for b, i in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.begins = {b[:k] for b in ranks for k in range(1, len(b))}
         self.pattern = regex.compile(PATTERN)
         # parts[t]: the two tokens whose merge makes t, None for single bytes
         self.parts: dict[int, tuple[int, int] | None] = {}
@@ -54,9 +54,9 @@ class Transducer:
         self._restart()
 
     def _restart(self) -> None:
-        # a state: the recent bytes and the last token of each recent prefix, oldest first
-        self.numbers: dict[tuple[bytes, tuple[int, ...]], int] = {(b"", ()): 0}
-        self.states: list[tuple[bytes, tuple[int, ...]]] = [(b"", ())]
+        # a state: the live bytes and the last tokens of the prefixes before and at each of them; -1: the empty prefix
+        self.numbers: dict[tuple[bytes, tuple[int, ...]], int] = {(b"", (-1,)): 0}
+        self.states: list[tuple[bytes, tuple[int, ...]]] = [(b"", (-1,))]
         self.arcs: list[dict[int, int]] = [{}]
 
     def _last_merge(self, piece: bytes, rank: int) -> tuple[int, int] | None:
@@ -101,18 +101,16 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> int:
         recent, last = self.states[state]
-        recent = recent + bytes((byte,))
-        token = -1
-        for size in range(min(len(recent), self.longest), 0, -1):
-            t = self.ranks.get(recent[-size:])
-            if t is None:
-                continue
-            before = len(last) - size  # index of the last token of the prefix before t; -1: t begins the pre-token
-            if before >= 0 and self._agree(last[before], t) or before == -1:
+        recent += bytes((byte,))
+        ranks, token = self.ranks, -1
+        for size in range(len(recent), 0, -1):
+            t = ranks.get(recent[-size:])
+            if t is not None and (last[-size] < 0 or self._agree(last[-size], t)):
                 token = t
                 break
-        recent, last = recent[-self.longest - 1 :], (*last, token)[-self.longest - 1 :]
-        key = (recent, last)
+        # only what begins a longer token can matter to later bytes
+        live = next((k for k in range(len(recent), 0, -1) if recent[-k:] in self.begins), 0)
+        key = (recent[len(recent) - live :], (*last, token)[-live - 1 :])
         number = self.numbers.get(key)
         if number is None:
             number = self.numbers[key] = len(self.states)
