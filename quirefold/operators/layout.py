@@ -73,9 +73,11 @@ def group_lines(words: DataFrame) -> DataFrame:
 def line_coverage(words: DataFrame, width: float) -> DataFrame:
     """doc_id, page_num, bin, n_cover, n_lines: the lines that cover each x bin of a page."""
     w = F.lit(width)
-    keyed = words.select(*PAGE, line_key(F.col("top")).alias("line"), F.explode(F.sequence(bin_index(F.col("x0"), w), bin_index(F.col("x1"), w))).alias("bin"))
-    cover = keyed.distinct().groupBy(*PAGE, "bin").agg(F.count("*").alias("n_cover"))
-    total = words.select(*PAGE, line_key(F.col("top")).alias("line")).distinct().groupBy(*PAGE).agg(F.count("*").alias("n_lines"))
+    # one shuffle by page serves the lines, the bins and the join; bins are made distinct inside each line
+    keyed = words.select(*PAGE, line_key(F.col("top")).alias("line"), F.sequence(bin_index(F.col("x0"), w), bin_index(F.col("x1"), w)).alias("bins")).repartition(*PAGE)
+    lines = keyed.groupBy(*PAGE, "line").agg(F.array_distinct(F.flatten(F.collect_list("bins"))).alias("bins"))  # the words of one line
+    cover = lines.select(*PAGE, F.explode("bins").alias("bin")).groupBy(*PAGE, "bin").agg(F.count("*").alias("n_cover"))
+    total = lines.groupBy(*PAGE).agg(F.count("*").alias("n_lines"))
     return cover.join(total, PAGE)
 
 
