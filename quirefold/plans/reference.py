@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quirefold.plans import boxes, catalog, edges, texts
+from quirefold.plans import boxes, catalog, edges, pipeline, texts
 
-QUERIES = {**catalog.QUERIES, **texts.QUERIES, **boxes.QUERIES, **edges.QUERIES}
-SQL = {**catalog.SQL, **texts.SQL, **boxes.SQL, **edges.SQL}
+QUERIES = {**catalog.QUERIES, **texts.QUERIES, **boxes.QUERIES, **edges.QUERIES, **pipeline.QUERIES}
+SQL = {**catalog.SQL, **texts.SQL, **boxes.SQL, **edges.SQL, **pipeline.SQL}
