@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from quirefold.llm import boilerplate, mojibake
 from quirefold.llm.sampling import labelled_sample
-from quirefold.session import cut
 
 #: Two-letter label of documents -> three-letter code.
 CODES = {"ko": "kor", "en": "eng", "ja": "jpn", "de": "deu", "fr": "fra", "es": "spa"}
@@ -37,9 +36,8 @@ SAMPLE_DOCS, SAMPLE_CHARS, PROFILE = 250, 4000, 300
 LETTERS, LINE_LETTERS = 30, 110
 #: A segment of less confidence than this (half of it for longer ones) tells only where a document has no other.
 SURE, SURE_LETTERS = 0.1, 80
-#: Rows classified at once; line wordings that are sent to the readers at most; lines of a block up to which they are
-#: looked for (in a longer one a repeated line cannot outweigh the rest).
-CHUNK, WORDINGS, BLOCK_LINES = 256, 200_000, 6
+#: Rows classified at once.
+CHUNK = 256
 #: Words kept per Python worker with their n-grams; beyond it the memo starts anew, which costs time only.
 MEMO = 300_000
 
@@ -177,13 +175,13 @@ def skeleton(line: str) -> str:
 def page_paragraphs(body: str, repeated: set[int], wordings: frozenset[str] | set[str] = frozenset()) -> list[str]:
     """The segments of a page's body: paragraphs of two lines or of one long one.
 
-    Line numbers in ``repeated`` and, in short paragraphs, lines whose skeleton is one of ``wordings`` are left out.
+    Line numbers in ``repeated`` and lines whose skeleton is one of ``wordings`` are left out.
     """
     out: list[str] = []
     block: list[str] = []
 
     def close() -> None:
-        kept = [x for x in block if skeleton(x) not in wordings] if wordings and len(block) <= BLOCK_LINES else block
+        kept = [x for x in block if skeleton(x) not in wordings] if wordings else block
         joined = " ".join(kept)
         if len(kept) > 1 and _enough(joined) or len(joined) >= LINE_LETTERS // 2 and len(joined) + len(_CJK.findall(joined)) >= LINE_LETTERS:
             out.append(_unquoted(joined))
@@ -225,20 +223,15 @@ def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, diction
                 yield emit([(d, "text", None, [s for s in paragraphs(repairer.text(t)[0]) if legible(s)]) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())])
 
     body_pages = pages.filter(F.col("document_id").isNotNull() & (F.col("body_text") != "")).select(F.col("document_id").alias("doc_id"), F.col("id").alias("page_id"), "body_text")
-    heads = cut(boilerplate.line_heads(pages, documents, boilerplate.MIN_DOCUMENTS).select("head_key").distinct())
-    wordings: frozenset[str] = frozenset()
-    if heads.count() <= WORDINGS:  # checked, so that what goes to the readers is bounded
-        wordings = frozenset(skeleton(r["head_key"]) for r in heads.collect())
-        marked = body_pages.withColumn("gone", F.lit(None).cast("array<int>"))
-    else:
-        repeated = boilerplate.found(pages, documents, approximate=False).filter("field_name = 'body_text'").groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))  # lines of one page
-        marked = body_pages.join(repeated, "page_id", "left")
+    # one rule for any number of wordings: the lines that the page's own source repeats, by number
+    repeated = boilerplate.found(pages, documents, approximate=False).filter("field_name = 'body_text'").groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))  # lines of one page
+    marked = body_pages.join(repeated, "page_id", "left")
 
     def bodies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 rows = zip(*(batch.slice(at, CHUNK).column(i).to_pylist() for i in range(4)))
-                yield emit([(d, "body_text", p, page_paragraphs(t, set(gone or ()), wordings)) for d, p, t, gone in rows])
+                yield emit([(d, "body_text", p, page_paragraphs(t, set(gone or ()))) for d, p, t, gone in rows])
 
     from_pages = marked.select("doc_id", "page_id", "body_text", "gone").mapInArrow(bodies, schema)
     from_texts = documents.filter(F.col("text").isNotNull() & (F.col("text") != "")).select("doc_id", "text").mapInArrow(texts, schema)

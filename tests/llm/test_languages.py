@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from helpers import plain, write_tables
@@ -54,3 +55,17 @@ def test_paragraphs():
     lines = "Tell a colleague about the Gazette\nPrinted by the Northford press\n\n" + BASE["ko"].replace(". ", ".\n")
     assert len(languages.page_paragraphs(lines, set())) == 2
     assert len(languages.page_paragraphs(lines, set(), {languages.skeleton(x) for x in lines.split("\n")[:2]})) == 1
+
+
+def test_lines_repeated_by_the_own_source_only(spark, tmp_path):
+    line = "Der Messwert zeigt im Hafen die Leitung und das Verfahren der Strömung."
+    words, rng = BASE["en"].replace(",", "").replace(".", "").split(), random.Random(3)
+    bodies = [[" ".join(rng.sample(words, 7)) for _ in range(8)] for _ in range(6)]  # blocks of nine lines, one of them repeated
+    docs = [{"doc_id": 100 + k, "lang": lang, "text": t * 2} for k, (lang, t) in enumerate(BASE.items())]
+    docs += [{"doc_id": k, "source": "a", "lang": "en", "text": BASE["en"]} for k in range(6)] + [{"doc_id": 6, "source": "b", "lang": "en", "text": BASE["en"]}]
+    other = "Warum der Bericht seit dem Sommer nicht mehr fehlerhaft ist."
+    pages = [{"id": k, "document_id": k, "page_num": 0, "body_text": "\n".join([*b[:4], line, *b[4:]])} for k, b in enumerate(bodies)]
+    pages += [{"id": 6, "document_id": 6, "page_num": 0, "body_text": f"{line}\n{other}"}]
+    folder = write_tables(spark, tmp_path, clash=True, documents=docs, page_contents=pages)
+    segments = {r.page_id: (r.lang, r.letters) for r in QUERIES["p3_segments"](spark, folder).filter("field_name = 'body_text'").collect()}
+    assert segments == {**{k: ("eng", len(" ".join(b))) for k, b in enumerate(bodies)}, 6: ("deu", len(f"{line} {other}"))}
