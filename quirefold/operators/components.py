@@ -15,7 +15,11 @@ from quirefold.session import cut
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
-    """(node, component) of every vertex of ``edges``; the component is its least vertex."""
+    """(node, component) of every vertex of ``edges``; the component is its least vertex.
+
+    Raises if ``rounds`` rounds do not finish the components (their number grows with the logarithm of the longest path).
+    """
+
     def mark(x: DataFrame) -> tuple:
         """Row count and order-free hash sum: equal for equal edge sets."""
         return tuple(x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -33,6 +37,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         before, known = known, mark(e)
         if known == before:
             break
+    else:
+        if known[0]:
+            raise RuntimeError(f"components still change after {rounds} rounds")
     nodes = edges.select(F.col(a).alias("node")).union(edges.select(F.col(b).alias("node"))).distinct()
     least = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return nodes.join(least, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -26,11 +26,9 @@ def orphan_rows(children: DataFrame, parents: DataFrame, grace_us: int = DAY_US)
     refs = children.filter(F.col("document_id").isNotNull())
     keys = refs.groupBy("document_id").agg(F.min("row_us").alias("first_us"))
     known = parents.filter(F.col("document_id").isNotNull()).select("document_id", "created_us")
-    flagged = (
-        keys.join(known.withColumn("known", F.lit(True)), "document_id", "left")
-        .filter(F.col("known").isNull() | (F.col("first_us") + grace_us < F.col("created_us")))
-        .select("document_id", "known", "created_us", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
+    absent = keys.join(known, "document_id", "left_anti").select("document_id", F.lit(None).cast("boolean").alias("known"), F.lit(None).cast("long").alias("created_us"))
+    late = keys.join(known, "document_id").filter(F.col("first_us") + grace_us < F.col("created_us")).select("document_id", F.lit(True).alias("known"), "created_us")
+    flagged = absent.unionByName(late).select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = refs.withColumn("salt", F.pmod(F.xxhash64("table_name", "row_id"), F.lit(SALTS)).cast("int"))
     hit = salted.join(flagged, ["document_id", "salt"])
     reason = F.when(F.col("known").isNull(), "absent").when(F.col("row_us") + grace_us < F.col("created_us"), "late")
@@ -48,6 +46,7 @@ def child_tables(base_tables: dict[str, DataFrame], logs_us: DataFrame) -> DataF
 
 
 def orphan_counts(rows: DataFrame) -> DataFrame:
-    """table_name, month (YYYY-MM, null without an instant), reason, n_rows."""
-    month = F.date_format(F.timestamp_micros("row_us"), "yyyy-MM")
+    """table_name, month (YYYY-MM in UTC, null without an instant), reason, n_rows."""
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("row_us") / DAY_US).cast("int"))  # of UTC, whatever the session's zone
+    month = F.date_format(day, "yyyy-MM")
     return rows.groupBy("table_name", month.alias("month"), "reason").agg(F.count("*").alias("n_rows"))

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Candidate delimiters by field kind, fixed values; "/" needs blanks around it unless the pieces are codes.
@@ -200,9 +201,11 @@ def delimiter_scores(values: DataFrame) -> DataFrame:
 
     each = values.select("field_name", F.coalesce("source", F.lit("")).alias("source"), "text").mapInPandas(run, "field_name string, source string, delimiter string, score double")
     by_source = each.groupBy("field_name", "source", "delimiter").agg(F.sum("score").alias("total"), F.count("*").alias("n"))
-    overall = by_source.groupBy("field_name", "delimiter").agg((F.sum("total") / F.sum("n")).alias("overall"))
-    pooled = (F.col("total") + POOL * F.col("overall")) / (F.col("n") + POOL)
-    return by_source.join(F.broadcast(overall), ["field_name", "delimiter"]).select("field_name", "source", "delimiter", pooled.alias("score"), "n")  # fields x candidates rows
+    # a window over the few rows of the aggregate, so that the values are scored once
+    field = W.partitionBy("field_name", "delimiter")
+    overall = F.sum("total").over(field) / F.sum("n").over(field)
+    pooled = (F.col("total") + POOL * overall) / (F.col("n") + POOL)
+    return by_source.select("field_name", "source", "delimiter", pooled.alias("score"), "n")
 
 
 def split_packed(values: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Problem 4: texts that state an instant in many formats, precisions and zones, as one unambiguous instant.
 
 Texts are parsed by built-in expressions into local time, offset and zone. A local time without offset is resolved by
-an as-of join with the zone-offset intervals of the IANA database, exploded by (zone, local year): two intervals that
-hold it mean an ambiguous time (the first instant counts), none a nonexistent one (it is read with the offset before
+an as-of join with the zone-offset intervals of the IANA database, exploded by (zone, local year), all years that can be
+written included: two intervals that hold it mean an ambiguous time (the first instant counts), none a nonexistent one (it is read with the offset before
 the gap), one gives the offset.
 
 Defined results: null, empty, blank, placeholder and unparsable texts, impossible dates and unknown zones give a null
@@ -12,16 +12,25 @@ gives an empty table; other columns are left alone, also those named like the he
 
 from __future__ import annotations
 
+import calendar
+import struct
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
-from zoneinfo import ZoneInfo, available_timezones
+from importlib import resources
+from pathlib import Path
+from zoneinfo import TZPATH, ZoneInfo, available_timezones
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Local years covered by the interval table; later and earlier times take the offset of the nearest covered year.
+#: Local years with a bucket of their own in the interval table; all earlier ones share a bucket, so do all later ones.
 FIRST_YEAR, LAST_YEAR = 1970, 2040
+#: Last year of the table: no zone has written changes in the 28 years before it, only its rule, which depends on the
+#: calendar of a year; these years hold all 14 calendars, so each later year is read as one of them.
+CYCLE_END = 2128
+#: Seconds from 1970 beyond all years that can be written.
+FAR_S = 1_000_000_000_000
 
 #: Month names read, by the first letters that tell them apart (English, German; lower case). Fixed values.
 MONTHS = {
@@ -38,54 +47,98 @@ _KOREAN = r"^(\d{4})년 (\d{1,2})월 (\d{1,2})일(?: (오전|오후))? (\d{1,2})
 _MAIL = r"^(?:[A-Za-z]{3}, )?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{1,2}):(\d{2})(?::(\d{2}))? ([+-]\d{4}|[A-Za-z]{1,5})$"
 
 
+def _zone_file(name: str) -> bytes:
+    """The compiled IANA data of a zone, from the system or from the tzdata package."""
+    for folder in TZPATH:
+        path = Path(folder, name)
+        if path.is_file():
+            return path.read_bytes()
+    return resources.files("tzdata").joinpath("zoneinfo", *name.split("/")).read_bytes()
+
+
+def _changes(data: bytes) -> tuple[list[int], bytes]:
+    """The instants at which a zone's written offsets change, and the rule that holds after the last (RFC 8536)."""
+
+    def counts(at: int) -> tuple[int, ...]:
+        return struct.unpack_from(">6l", data, at + 20)
+
+    utc, std, leap, times, types, chars = counts(0)
+    at = 44 + times * 5 + types * 6 + chars + leap * 8 + std + utc  # the first block holds 32-bit instants and is skipped
+    utc, std, leap, times, types, chars = counts(at)
+    instants = list(struct.unpack_from(f">{times}q", data, at + 44))
+    footer = data[at + 44 + times * 9 + types * 6 + chars + leap * 12 + std + utc :]
+    return instants, footer.strip()
+
+
+def _rule_changes(zone: ZoneInfo, begin: datetime, end: datetime) -> list[int]:
+    """The instants from ``begin`` to ``end`` at which a zone's rule changes its offset; rules keep each offset for weeks."""
+    state = lambda t: t.astimezone(zone).utcoffset()
+    out, t, now = [], begin, state(begin)
+    while t < end:
+        step = min(t + timedelta(days=20), end)
+        if state(step) != now:
+            low, high = int(t.timestamp()), int(step.timestamp())
+            while high - low > 1:
+                middle = (low + high) // 2
+                if state(datetime.fromtimestamp(middle, timezone.utc)) == now:
+                    low = middle
+                else:
+                    high = middle
+            out.append(high)
+            step = datetime.fromtimestamp(high, timezone.utc)
+            now = state(step)
+        t = step
+    return out
+
+
 @lru_cache(maxsize=1)
 def _interval_rows() -> list[tuple[str, int, list[tuple[int, int, int, str]]]]:
-    """(zone, local year, [(local start, local end, offset, abbreviation), ...]) in seconds, of every IANA zone."""
-    day = timedelta(days=1)
-    begin, end = datetime(FIRST_YEAR, 1, 1, tzinfo=timezone.utc) - day * 2, datetime(LAST_YEAR + 1, 1, 1, tzinfo=timezone.utc) + day * 2
-    epoch = lambda t: int(t.timestamp())
+    """(zone, bucket, [(local start, local end, offset, abbreviation), ...]) in seconds, of every IANA zone.
+
+    A bucket is a local year from FIRST_YEAR to LAST_YEAR; the one before holds all earlier years and the one after all
+    later ones up to CYCLE_END.
+    """
+    at = lambda year: datetime(year, 1, 1, tzinfo=timezone.utc)
+    end = at(CYCLE_END + 2)
+    ruled: dict[tuple[bytes, int], list[int]] = {}  # zones with one rule change at the same instants
     out = []
     for name in sorted(available_timezones()):
         zone = ZoneInfo(name)
-        state = lambda t: (int(t.astimezone(zone).utcoffset().total_seconds()), t.astimezone(zone).tzname())  # noqa: B023, E731
-        runs, since, now = [], begin, state(begin)
-        t = begin
-        while t < end:
-            step = min(t + day * 20, end)
-            if (new := state(step)) != now:
-                low, high = epoch(t), epoch(step)
-                while high - low > 1:
-                    middle = (low + high) // 2
-                    if state(datetime.fromtimestamp(middle, timezone.utc)) == now:
-                        low = middle
-                    else:
-                        high = middle
-                at = datetime.fromtimestamp(high, timezone.utc)
-                runs.append((epoch(since), high, *now))
-                since, now = at, state(at)
-                t = at
-                if now != new:
-                    continue
-            t = step
-        runs.append((epoch(since), epoch(end), *now))
+        instants, rule = _changes(_zone_file(name))
+        if b"," in rule:
+            begin = max(datetime.fromtimestamp(instants[-1], timezone.utc) if instants and instants[-1] > 0 else at(1970), at(1970))
+            key = rule, begin.year
+            if key not in ruled:
+                ruled[key] = _rule_changes(zone, begin, end)
+            instants = instants + [t for t in ruled[key] if not instants or t > instants[-1]]
+        runs: list[list] = []
+        for since, until in zip([-FAR_S, *instants], [*instants, FAR_S]):
+            moment = datetime.fromtimestamp(max(since, -60_000_000_000), timezone.utc).astimezone(zone)
+            state = int(moment.utcoffset().total_seconds()), moment.tzname()
+            if until <= since:
+                continue
+            if runs and runs[-1][2:] == list(state):
+                runs[-1][1] = until
+            else:
+                runs.append([since, until, *state])
         local = [(a + offset, b + offset, offset, short) for a, b, offset, short in runs]
+        edges = [int(at(year).timestamp()) for year in range(FIRST_YEAR, LAST_YEAR + 2)]
         first = 0
-        for year in range(FIRST_YEAR, LAST_YEAR + 1):
-            low, high = epoch(datetime(year, 1, 1, tzinfo=timezone.utc)), epoch(datetime(year + 1, 1, 1, tzinfo=timezone.utc))
-            while local[first][1] <= low - 90_000:
+        for bucket, (low, high) in enumerate(zip([-FAR_S, *edges], [*edges, FAR_S]), FIRST_YEAR - 1):
+            while first < len(local) - 1 and local[first][1] <= low - 90_000:
                 first += 1
             k, held = first, []
             while k < len(local) and local[k][0] < high + 90_000:
                 held.append(local[k])
                 k += 1
-            out.append((name, year, held))
+            out.append((name, bucket, held))
     return out
 
 
 def zone_intervals(spark: SparkSession, zones: list[str] | None = None) -> DataFrame:
-    """zone, zone_year, spans: the offset intervals that touch each local year; all IANA zones by default.
+    """zone, zone_year, spans: the offset intervals that touch each bucket of local years; all IANA zones by default.
 
-    Its size is bounded by the IANA database (about 600 zones) times the covered years, whatever the data.
+    Its size is bounded by the IANA database (about 600 zones) times the buckets, whatever the data.
     """
     rows = _interval_rows()
     if zones is not None:
@@ -95,6 +148,15 @@ def zone_intervals(spark: SparkSession, zones: list[str] | None = None) -> DataF
     return spark.createDataFrame(rows, schema)
 
 
+def _folded_year(year: Column) -> Column:
+    """``year`` up to CYCLE_END, a later one as that year of the last cycle which has its calendar (leap day and first weekday)."""
+    kind = lambda leap, first: first + 7 * leap
+    held = {kind(calendar.isleap(y), datetime(y, 1, 1).isoweekday() % 7): y for y in range(CYCLE_END - 27, CYCLE_END + 1)}
+    leap = F.when((year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0)), 7).otherwise(0)
+    weekday = F.dayofweek(F.make_date(year, F.lit(1), F.lit(1))) - 1
+    return F.when(year > CYCLE_END, F.get(F.array(*[F.lit(held[k]) for k in range(14)]), weekday + leap)).otherwise(year)
+
+
 def _int(c: Column) -> Column:
     return c.try_cast("int")
 
@@ -195,13 +257,17 @@ def with_instants(df: DataFrame, fields: dict[str, str], workers: DataFrame, wor
             "_qf_fixed": fixed,
             "_qf_short": F.when(fixed.isNull() & named.isNull(), tail),
             "_qf_z": F.coalesce(named, "_qf_zone", F.lit("UTC")),
-            "_qf_year": F.least(F.greatest(F.col("_qf_p.year"), F.lit(FIRST_YEAR)), F.lit(LAST_YEAR)),
+            "_qf_fold": _folded_year(F.col("_qf_p.year")),
         })
+        out = out.withColumn("_qf_year", F.least(F.greatest("_qf_fold", F.lit(FIRST_YEAR - 1)), F.lit(LAST_YEAR + 1)))
         out = out.join(spans, (F.col("zone") == F.col("_qf_z")) & (F.col("zone_year") == F.col("_qf_year")) & F.col("_qf_fixed").isNull(), "left") if not {"zone", "zone_year", "spans"} & set(names) else out.join(
             spans.toDF("_qf_a", "_qf_b", "spans_qf"), (F.col("_qf_a") == F.col("_qf_z")) & (F.col("_qf_b") == F.col("_qf_year")) & F.col("_qf_fixed").isNull(), "left"
         ).drop("_qf_a", "_qf_b")
         held = F.col("spans") if "spans_qf" not in out.columns else F.col("spans_qf")
-        local = F.col("_qf_p.local_us")
+        days = lambda year: F.unix_date(F.make_date(year, F.lit(1), F.lit(1))).cast("bigint")
+        moved = F.when(F.col("_qf_fold") != F.col("_qf_p.year"), (days(F.col("_qf_p.year")) - days(F.col("_qf_fold"))) * 86_400_000_000).otherwise(0)
+        written = F.col("_qf_p.local_us")
+        local = written - moved
         covers = lambda s: (s.local_from * 1_000_000 <= local) & (local < s.local_to * 1_000_000)  # noqa: B023, E731
         short = F.col("_qf_short")
         inside = F.filter(held, covers)
@@ -209,11 +275,11 @@ def with_instants(df: DataFrame, fields: dict[str, str], workers: DataFrame, wor
         both = F.filter(inside, lambda s: s.short == short)  # noqa: B023
         before = F.filter(held, lambda s: s.local_to * 1_000_000 <= local)  # noqa: B023
         first = F.array_max(F.transform(inside, lambda s: s.offset))  # the larger offset is the earlier instant
-        unnamed = F.coalesce(first, F.element_at(F.transform(before, lambda s: s.offset), -1), F.get(F.transform(held, lambda s: s.offset), F.lit(0)))
+        unnamed = F.coalesce(first, F.try_element_at(F.transform(before, lambda s: s.offset), F.lit(-1)), F.get(F.transform(held, lambda s: s.offset), F.lit(0)))
         abbreviated = F.coalesce(F.get(F.transform(both, lambda s: s.offset), F.lit(0)), F.get(F.transform(by_name, lambda s: s.offset), F.lit(0)), F.when(short == "GMT", 0))
         seconds = F.coalesce("_qf_fixed", F.when(short.isNull(), unnamed).otherwise(abbreviated))
-        out = out.withColumn(target, F.coalesce(F.col("_qf_p.epoch_us"), local - seconds.cast("bigint") * 1_000_000))
-        out = out.drop("_qf_p", "_qf_fixed", "_qf_short", "_qf_z", "_qf_year", *([] if "spans_qf" in out.columns else ["zone", "zone_year", "spans"]), "spans_qf")
+        out = out.withColumn(target, F.coalesce(F.col("_qf_p.epoch_us"), written - seconds.cast("bigint") * 1_000_000))
+        out = out.drop("_qf_p", "_qf_fixed", "_qf_short", "_qf_z", "_qf_year", "_qf_fold", *([] if "spans_qf" in out.columns else ["zone", "zone_year", "spans"]), "spans_qf")
     return out.drop("_qf_zone", "_qf_order")
 
 

@@ -42,6 +42,12 @@ def meta(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "document_metadata")
 
 
+def in_time(s: SparkSession, d: str, df: DataFrame, field: str, *columns: str, last_first: bool = False) -> DataFrame:
+    """``columns`` of ``df`` ordered by the instant that ``field`` states in any of its formats (the first column breaks ties); rows without one come last."""
+    at = timestamps.with_instants(df, {field: "_at_us"}, table(s, d, "workers"))
+    return at.orderBy(F.desc_nulls_last("_at_us") if last_first else F.asc_nulls_last("_at_us"), columns[0]).select(*columns)
+
+
 # ---- discovery and content hashes -------------------------------------------------------------------------------
 
 EXTENSION = r"\.(pdf|PDF|docx|DOCX|pptx|PPTX)$"
@@ -124,19 +130,19 @@ def doc_by_hash(s, d):
     return docs(s, d).filter("file_hash IS NOT NULL").groupBy("file_hash").agg(F.min("doc_id").alias("doc_id"))
 
 
-@query("docs_by_status", "SELECT doc_id, status, created_at FROM documents WHERE status = 'FAILED' ORDER BY created_at, doc_id")
+@query("docs_by_status", "SELECT doc_id, status, created_at FROM documents WHERE status = 'FAILED'")
 def docs_by_status(s, d):
-    return docs(s, d).filter(F.col("status") == "FAILED").select("doc_id", "status", "created_at").orderBy("created_at", "doc_id")
+    return in_time(s, d, docs(s, d).filter(F.col("status") == "FAILED"), "created_at", "doc_id", "status", "created_at")
 
 
-@query("all_docs", "SELECT doc_id, file_name, created_at FROM documents ORDER BY created_at DESC, doc_id")
+@query("all_docs", "SELECT doc_id, file_name, created_at FROM documents")
 def all_docs(s, d):
-    return docs(s, d).select("doc_id", "file_name", "created_at").orderBy(F.desc("created_at"), "doc_id")
+    return in_time(s, d, docs(s, d), "created_at", "doc_id", "file_name", "created_at", last_first=True)
 
 
-@query("not_indexed", "SELECT doc_id, status, updated_at FROM documents WHERE status NOT IN ('INDEXED') ORDER BY updated_at DESC NULLS LAST, doc_id")
+@query("not_indexed", "SELECT doc_id, status, updated_at FROM documents WHERE status NOT IN ('INDEXED')")
 def not_indexed(s, d):
-    return docs(s, d).filter(~F.col("status").isin("INDEXED")).select("doc_id", "status", "updated_at").orderBy(F.desc_nulls_last("updated_at"), "doc_id")
+    return in_time(s, d, docs(s, d).filter(~F.col("status").isin("INDEXED")), "updated_at", "doc_id", "status", "updated_at", last_first=True)
 
 
 @query("name_search", "SELECT doc_id, file_name FROM documents WHERE contains(lower(file_name), 'the_') AND status IN ('INDEXED', 'FAILED')")
@@ -150,10 +156,10 @@ def like_filter(s, d):
     return logs(s, d).filter(F.col("message").like("%timeout%")).select("document_id").distinct().join(named, "document_id", "left_semi")
 
 
-@query("logs_for_doc", "SELECT id, document_id, step, result FROM process_logs WHERE document_id = (SELECT max(doc_id) FROM documents) ORDER BY logged_at, id")
+@query("logs_for_doc", "SELECT id, document_id, step, result FROM process_logs WHERE document_id = (SELECT max(doc_id) FROM documents)")
 def logs_for_doc(s, d):
     last = docs(s, d).agg(F.max("doc_id").alias("document_id"))
-    return logs(s, d).join(F.broadcast(last), "document_id", "left_semi").orderBy("logged_at", "id").select("id", "document_id", "step", "result")  # one row
+    return in_time(s, d, logs(s, d).join(F.broadcast(last), "document_id", "left_semi"), "logged_at", "id", "document_id", "step", "result")  # one row
 
 
 @query("assets_for_doc", "SELECT document_id, id, page_num, asset_type, seq_in_doc, ref_tag FROM document_assets ORDER BY document_id, page_num, seq_in_doc, id")
@@ -235,9 +241,10 @@ def truncate(s, d):
     return logs(s, d).filter("message IS NOT NULL").select("id", F.left("message", F.lit(50)).alias("message"))
 
 
-@query("sort_logs", "SELECT DISTINCT document_id, logged_at, id FROM process_logs ORDER BY document_id, logged_at, id")
+@query("sort_logs", "SELECT DISTINCT document_id, logged_at, id FROM process_logs")
 def sort_logs(s, d):
-    return logs(s, d).select("document_id", "logged_at", "id").distinct().orderBy("document_id", "logged_at", "id")
+    at = timestamps.with_instants(logs(s, d).select("document_id", "logged_at", "id", "worker"), {"logged_at": "_at_us"}, table(s, d, "workers"))
+    return at.drop("worker").distinct().orderBy("document_id", F.asc_nulls_last("_at_us"), "id").drop("_at_us")
 
 
 @query("sample_prefix", "SELECT doc_id, left(text, 3000) AS head FROM documents WHERE text IS NOT NULL")
@@ -346,7 +353,8 @@ def success_rates(s, d):
 
 
 def _times(s, d) -> DataFrame:
-    at = timestamps.with_instants(logs(s, d).select("document_id", "step", "result", "logged_at", "worker"), {"logged_at": "at_us"}, table(s, d, "workers"))
+    counted = logs(s, d).filter(F.col("step").isin("ANALYZE", "INDEXING") & (F.col("result") == "SUCCESS"))  # only these times are parsed
+    at = timestamps.with_instants(counted.select("document_id", "step", "result", "logged_at", "worker"), {"logged_at": "at_us"}, table(s, d, "workers"))
     return metrics.elapsed(at)
 
 

@@ -13,7 +13,7 @@ from quirefold.operators import layout as L
 from quirefold.operators import pages as P
 from quirefold.operators import viewer
 from quirefold.plans import boxes, edges, texts
-from quirefold.plans.catalog import assets, docs, logs, meta, pages
+from quirefold.plans.catalog import assets, docs, in_time, logs, meta, pages
 from quirefold.plans.sqltext import WORDS, count, strip
 from quirefold.sources import office
 
@@ -84,9 +84,9 @@ _delete("delete_pages", "page_contents", pages)
 _delete("delete_metadata", "document_metadata", meta)
 
 
-@query("report_fetch", "SELECT doc_id, status, created_at FROM documents ORDER BY created_at, doc_id")
+@query("report_fetch", "SELECT doc_id, status, created_at FROM documents")
 def report_fetch(s, d):
-    return docs(s, d).select("doc_id", "status", "created_at").orderBy("created_at", "doc_id")
+    return in_time(s, d, docs(s, d), "created_at", "doc_id", "status", "created_at")
 
 
 @query("retry", "SELECT document_id, count(DISTINCT id) AS attempts FROM process_logs WHERE step = 'UPLOAD' AND document_id IS NOT NULL GROUP BY document_id")

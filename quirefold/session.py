@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -23,6 +25,7 @@ def build_session(app: str = "quirefold", cpus: str = "*", shuffle_partitions: i
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("QUIREFOLD_DRIVER_MEMORY", "6g"))
         .getOrCreate()
     )
@@ -50,11 +53,16 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``, a folder of our own only where none is set."""
+    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir``; only a local session without one gets its own, deleted at exit."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return context._jsc.sc().getCheckpointDir().get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quirefold-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="quirefold-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 

@@ -46,3 +46,14 @@ def test_query_reads_log_times(spark, tmp_path):
     counts = {(r["table_name"], r["month"], r["reason"]): r["n_rows"] for r in QUERIES["p2_orphan_counts"](spark, folder).collect()}
     assert counts == {("page_contents", "2021-06", "late"): 1, ("process_logs", "2021-06", "late"): 1, ("process_logs", None, "absent"): 1}
     assert frame(spark, "documents", []).count() == 0
+
+
+def test_months_are_those_of_utc(spark):
+    rows = spark.createDataFrame([("process_logs", 1, 1_704_067_200_000_000, "absent"), ("process_logs", 2, None, "absent"), ("process_logs", 3, -1, "late")], "table_name string, row_id long, row_us long, reason string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r["month"] for r in orphans.orphan_counts(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {"2024-01", None, "1969-12"}

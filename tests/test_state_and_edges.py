@@ -74,6 +74,9 @@ def test_components_against_union_find(spark):
     groups = lambda m: {frozenset(n for n in m if m[n] == c) for c in set(m.values())}
     assert groups(got) == groups(want)
     assert connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
+    path = spark.createDataFrame([(f"{k:03d}", f"{k + 1:03d}") for k in range(60)], "a string, b string")
+    with pytest.raises(RuntimeError, match="after 1 rounds"):
+        connected_components(path, rounds=1)
 
 
 def test_office_round_trip(spark, tmp_path):

@@ -50,6 +50,11 @@ CASES = [
     ("2021-11-07 01:30:00 EST", "ny", us(2021, 11, 7, 6, 30)),
     (None, "se", None), ("", "se", None), ("N/A", "se", None), ("-", "se", None), ("0000-00-00 00:00:00", "se", None), ("2021-02-30 10:00:00", "se", None), ("2021-02-03 25:00:00", "se", None),
     ("2021-06-24 15:08:57", "nobody", us(2021, 6, 24, 15, 8, 57)), ("2021-06-24 15:08:57", None, us(2021, 6, 24, 15, 8, 57)),
+    ("1890-07-01 12:00:00", "ny", us(1890, 7, 1, 12, zone="America/New_York")), ("1890-07-01 12:00:00", "ut", us(1890, 7, 1, 12)),
+    ("1850-07-01 12:00:00", "be", us(1850, 7, 1, 12, zone="Europe/Berlin")), ("1965-07-01 12:00:00", "ny", us(1965, 7, 1, 12, zone="America/New_York")),
+    ("1945-06-01 12:00:00", "be", us(1945, 6, 1, 12, zone="Europe/Berlin")), ("2045-07-01 12:00:00", "ny", us(2045, 7, 1, 12, zone="America/New_York")),
+    ("2045-01-01 12:00:00", "ny", us(2045, 1, 1, 12, zone="America/New_York")), ("2400-07-01 12:00:00", "be", us(2400, 7, 1, 12, zone="Europe/Berlin")),
+    ("9998-12-31 12:00:00", "be", us(9998, 12, 31, 12, zone="Europe/Berlin")), ("1965-07-01 12:00:00", None, us(1965, 7, 1, 12)),
     ("2021-06-24 15:08:57 Nowhere/Place", "se", None), ("2021-06-24 15:08:57 XYZ", "se", None),
 ]
 
@@ -68,11 +73,12 @@ def test_random_local_times_against_zoneinfo(spark):
     workers = [{"worker": z, "time_zone": z, "date_order": "YMD"} for z in zones]
     cases = []
     for k in range(1500):
-        t = datetime(1990, 1, 1) + timedelta(seconds=random.randrange(40 * 365 * 86400))
+        begin, years = [(1990, 40), (1850, 400), (1900, 8000)][k % 3]
+        t = datetime(begin, 1, 1) + timedelta(seconds=random.randrange(years * 365 * 86400))
         zone = random.choice(zones)
         utc = t.replace(tzinfo=ZoneInfo(zone)).astimezone(timezone.utc)
         back = utc.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
-        cases.append((k, f"{t:%Y-%m-%d %H:%M:%S}", zone, int(utc.timestamp()) * 1_000_000 if back == t else None))
+        cases.append((k, t.isoformat(" "), zone, int(utc.timestamp()) * 1_000_000 if back == t else None))
     logs = frame(spark, "process_logs", [{"id": k, "logged_at": s, "worker": z} for k, s, z, _ in cases])
     got = {r["id"]: r["us"] for r in timestamps.with_instants(logs, {"logged_at": "us"}, frame(spark, "workers", workers)).select("id", "us").collect()}
     assert [k for k, _, _, want in cases if want is not None and got[k] != want] == []
@@ -90,3 +96,11 @@ def test_found_leaves_out_the_canonical_form_and_repeats(spark, tmp_path):
 def test_empty_and_null_tables(spark, tmp_path, name, rows):
     folder = write_tables(spark, tmp_path, clash=True, **rows)
     assert QUERIES[name](spark, folder).collect() == []
+
+
+def test_times_sort_by_their_instants(spark, tmp_path):
+    from quirefold.plans.catalog import QUERIES as known
+
+    docs = [{"doc_id": 1, "created_at": "2021-06-24 00:00:00", "worker": "se"}, {"doc_id": 2, "created_at": "1. Januar 2020, 00:10 Uhr", "worker": "be"}, {"doc_id": 3, "created_at": "1623344632"}, {"doc_id": 4}]
+    folder = write_tables(spark, tmp_path, documents=docs, workers=WORKERS)
+    assert [r[0] for r in known["all_docs"](spark, folder).collect()] == [1, 3, 2, 4]
