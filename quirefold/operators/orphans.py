@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirefold.session import cut
+
 DAY_US = 86_400_000_000
 #: Buckets over which the rows of one key are spread in the join back.
 SALTS = 16
@@ -24,7 +26,7 @@ SALTS = 16
 def orphan_rows(children: DataFrame, parents: DataFrame, grace_us: int = DAY_US) -> DataFrame:
     """(table_name, row_id, row_us, reason) of ``children`` (table_name, row_id, document_id, row_us) against ``parents`` (document_id, created_us)."""
     refs = children.filter(F.col("document_id").isNotNull())
-    keys = refs.groupBy("document_id").agg(F.min("row_us").alias("first_us"))
+    keys = cut(refs.groupBy("document_id").agg(F.min("row_us").alias("first_us")))  # one row per key, used twice
     known = parents.filter(F.col("document_id").isNotNull()).select("document_id", "created_us")
     absent = keys.join(known, "document_id", "left_anti").select("document_id", F.lit(None).cast("boolean").alias("known"), F.lit(None).cast("long").alias("created_us"))
     late = keys.join(known, "document_id").filter(F.col("first_us") + grace_us < F.col("created_us")).select("document_id", F.lit(True).alias("known"), "created_us")
