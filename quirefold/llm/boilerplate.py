@@ -3,32 +3,46 @@
 Each line is normalised (letter case, digits, spacing and punctuation removed, and the letters that scanners confuse, so
 that most misread copies meet in one hash) and hashed. Distinct documents per source and hash are counted with
 two partial aggregations, so that a hot source costs no more per task than another. Hashes shared by ``HEADS`` documents
-or more become heads; a line with a head's hash must also be the head's but for few edits, every other long line is held against the heads of its source that share its hash or one of four anchors
-with it (its beginning, its end and the stretch next to each) and joins the best one within a few edits. Heads whose lines
-lie in at least ``min_documents`` documents and in at least ``min_share`` of the source's documents are boilerplate.
+or more become heads; heads within a few edits of each other, also by way of a third one, are one line (connected
+components). A line with a head's hash that is the head's but for few edits belongs to it. Every other long line belongs
+to the best head of its source within the allowed edits: a head is cut into one piece more than edits are allowed, so
+that one piece stands whole in the line, and the lines that hold a piece of their source's heads are compared in full.
+Heads whose lines lie in at least ``min_documents`` documents and in at least ``min_share`` of the source's documents are
+boilerplate.
+
+No page text is moved: the readers pass on only lines whose hash or piece is in a bit filter of the heads' hashes and
+pieces. The filter has a fixed size; it never drops a line that matches, and what it passes too much the joins drop.
 
 Defined results: null and empty fields have no lines; lines without a letter, page numbers and asset references are
 never cases; pages without document or source are left out; a page stored twice counts its document once; repeated rows
-are reported once; lines shorter than ``LONG`` letters are matched by their exact letters only.
+are reported once; lines shorter than ``LONG`` letters are matched by their exact letters only; a line needs two copies
+in its source that read alike (of at least ``min_documents`` copies) to be known as repeated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirefold.llm.filters import bit_filter, in_filter
+from quirefold.operators.components import connected_components
 from quirefold.session import bounded_broadcast, cut
 
 FIELDS = ("header_text", "footer_text", "body_text")
 #: Documents of a source in which a line must lie; and the least share of the source's documents (none asked here).
 MIN_DOCUMENTS, MIN_SHARE = 6, 0.0
-#: Documents from which a hash can gather misread copies: two thirds of MIN_DOCUMENTS. (Copies of whole documents make
-#: every line of theirs occur two or three times; these are no heads.)
-HEADS = 4
-#: Letters from which a line is folded and matched approximately, and the length of an anchor.
-LONG, ANCHOR = 16, 8
-#: Characters up to which a line is held against NOT_LINES; none of its forms has more.
-SHORT = 60
+#: Documents from which a hash can gather misread copies.
+HEADS = 2
+#: Letters of a head from which lines are matched approximately, and from which its pieces are long ones.
+LONG, LONGER = 16, 33
+#: Letters of a short and of a long piece; with the allowed edits no piece of a head is shorter.
+SHORT_PIECE, LONG_PIECE = 5, 11
+#: Pages whose ids may be sent to the readers to have the heads' letters read.
+TOLD = 1_000_000
 #: Letters that the hash must rest on.
 SKELETON = 7
 #: Edits beyond which two keys are never compared to the end.
@@ -59,7 +73,7 @@ def page_lines(pages: DataFrame) -> DataFrame:
     parts = F.array(*[F.struct(F.lit(f).alias("field_name"), F.split(F.col(f), "\n").alias("lines")) for f in FIELDS])
     long = owned.select("page_id", *keep, F.inline(parts)).filter(F.col("lines").isNotNull())
     lines = long.select("page_id", *keep, "field_name", F.posexplode("lines").alias("line_no", "line"))
-    return lines.filter(F.col("line").rlike(r"\p{L}") & ~((F.length("line") <= SHORT) & F.col("line").rlike(NOT_LINES)))
+    return lines.filter(F.col("line").rlike(r"\p{L}") & ~F.col("line").rlike(NOT_LINES))
 
 
 def owners(documents: DataFrame) -> DataFrame:
@@ -67,16 +81,80 @@ def owners(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col("source").isNotNull()).select(F.col("doc_id").alias("document_id"), "source")
 
 
-def _entries(key: Column, digest: Column) -> Column:
-    """What a line is looked up by: its hash, and for long keys four anchored stretches; one edit spoils at most two."""
-    n = F.length(key)
-    spots = [
-        F.substring(key, 1, ANCHOR), F.substring(key, ANCHOR + 1, ANCHOR),
-        F.right(key, F.lit(ANCHOR)), F.substr(key, F.greatest(n - 2 * ANCHOR + 1, F.lit(1)), F.lit(ANCHOR)),
-    ]
-    exact = F.struct(F.lit(0).alias("spot"), digest.alias("anchor"))
-    anchored = [F.struct(F.lit(i).alias("spot"), F.xxhash64(s).alias("anchor")) for i, s in enumerate(spots, 1)]
-    return F.when(n >= LONG, F.array(exact, *anchored)).otherwise(F.array(exact))
+def allowed_edits(n: int, share: float = 0.06) -> int:
+    """Edits by which a line may differ from a head of ``n`` letters."""
+    return min(max(2, int(n * share)), FAR)
+
+
+_FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
+    h = (h ^ np.uint64(salt)) * _MIX
+    h ^= h >> np.uint64(29)
+    h *= _FACTOR
+    return h ^ (h >> np.uint64(32))
+
+
+def piece_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the SHORT_PIECE and of the LONG_PIECE letters that begin at each place of a text."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(c)
+    if n < SHORT_PIECE:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    with np.errstate(over="ignore"):
+        short = c[: n - SHORT_PIECE + 1].copy()
+        for k in range(1, SHORT_PIECE):
+            short *= _FACTOR
+            short += c[k : n - SHORT_PIECE + 1 + k]
+        m = max(n - LONG_PIECE + 1, 0)
+        long = short[:m] * _FACTOR * _FACTOR * _FACTOR * _FACTOR * _FACTOR * _FACTOR + short[SHORT_PIECE : SHORT_PIECE + m] * _FACTOR + c[LONG_PIECE - 1 : LONG_PIECE - 1 + m]
+        return _mixed(short, 1), _mixed(long, 2)
+
+
+def head_pieces(key: str) -> list[tuple[int, int]]:
+    """(hash, place) of the beginnings of a head's pieces, one more than edits are allowed; none for short heads."""
+    n = len(key)
+    if n < LONG:
+        return []
+    hashes = piece_hashes(key)[n >= LONGER].view(np.int64)
+    parts = allowed_edits(n) + 1
+    return [(int(hashes[at]), at) for at in (n * k // parts for k in range(parts))]
+
+
+def _survivors(lines: DataFrame, hashes: np.ndarray | None, pieces: np.ndarray) -> DataFrame:
+    """``lines`` (..., hash, key) that can belong to a head, with ``found``: the (piece, at) of their letters that heads may have."""
+    names = lines.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = ["" if k is None else k for k in b.column(names.index("key")).to_pylist()]
+            size = np.array([len(k) for k in keys], np.int64)
+            owner = np.repeat(np.arange(len(keys)), size)
+            at = np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
+            hits = []
+            # a head of LONGER letters or more has lines of LONGER - 2 or more, one of LONG or more has lines of LONG - 2 or more
+            for h, width, least, most in zip(piece_hashes("".join(keys)), (SHORT_PIECE, LONG_PIECE), (LONG - 2, LONGER - 2), (LONGER + 1, None)):
+                n = size[owner[: len(h)]]
+                fits = (at[: len(h)] + width <= n) & (n >= least)
+                if most is not None:
+                    fits &= n <= most
+                places = np.flatnonzero(fits)
+                places = places[in_filter(pieces, h[places])]
+                hits.append((owner[places], h[places].view(np.int64), at[places]))
+            of, piece, where = (np.concatenate(x) for x in zip(*hits))
+            order = np.argsort(of, kind="stable")
+            count = np.bincount(of, minlength=len(keys))
+            kept = count > 0
+            if hashes is not None:
+                kept |= in_filter(hashes, b.column(names.index("hash")).to_numpy())
+            offsets = np.concatenate(([0], np.cumsum(count[kept])))
+            found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(piece[order]), pa.array(where[order], pa.int32())], names=["piece", "at"]))
+            out = b.filter(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([*out.columns, found], names=[*names, "found"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema)
+    return lines.mapInArrow(run, f"{schema}, found array<struct<piece:bigint,at:int>>")
 
 
 def _close(a: Column, b: Column, share: float = 0.06, far: int = FAR) -> Column:
@@ -97,37 +175,48 @@ def shared_lines(pages: DataFrame, documents: DataFrame, least: int = HEADS) ->
 def line_heads(pages: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
     """(source, head, n, head_key): the hashes that several documents of a source share, with their letters, read from one page each."""
     shared = cut(shared_lines(pages, documents, least))
-    told = pages.join(bounded_broadcast(shared.select(F.col("page_id").alias("id")).distinct()), "id", "left_semi")
+    told = pages.join(bounded_broadcast(shared.select(F.col("page_id").alias("id")).distinct(), TOLD), "id", "left_semi")
     keys = page_lines(told).select("page_id", line_hash(F.col("line")).alias("hash"), letters(F.col("line")).alias("key")).groupBy("page_id", "hash").agg(F.min("key").alias("head_key"))
     return shared.join(keys, ["page_id", "hash"]).select("source", F.col("hash").alias("head"), "n", "head_key")
 
 
+def _with_pieces(heads: DataFrame) -> DataFrame:
+    """``heads`` (source, head, n, head_key, ...) with a row for each piece (piece, place)."""
+    cutter = F.udf(head_pieces, "array<struct<piece:bigint,place:int>>", useArrow=True)  # once per head
+    return heads.select("*", F.inline(cutter("head_key")))
+
+
+def _near(line: Column, head: Column, at: Column, place: Column) -> Column:
+    """Whether a line that holds a piece of a head can be, and is, the head's but for the allowed edits; a piece moves by no more than these."""
+    return (F.abs(at - place) <= FAR) & _close(line, head)
+
+
 def _roots(heads: DataFrame) -> DataFrame:
-    """``heads`` with ``root``: a head within a few edits of one of its source with more documents belongs to that one."""
-    entries = heads.withColumn("e", F.explode(_entries(F.col("head_key"), F.col("head")))).filter("e.spot > 0").select("source", "head", "n", "head_key", "e.spot", "e.anchor")
-    other = entries.select("source", "spot", "anchor", F.col("head").alias("to"), F.col("n").alias("to_n"), F.col("head_key").alias("to_key"))
-    better = (F.col("to_n") > F.col("n")) | ((F.col("to_n") == F.col("n")) & (F.col("to") < F.col("head")))
-    moved = entries.join(other, ["source", "spot", "anchor"]).filter(better & _close(F.col("head_key"), F.col("to_key"))).groupBy("source", "head").agg(F.max_by("to", F.struct("to_n", -F.col("to"))).alias("root"))
-    return heads.join(moved, ["source", "head"], "left").withColumn("root", F.coalesce("root", "head"))
+    """``heads`` with ``root``: heads within a few edits of each other, or joined by such steps, have the same."""
+    pieces = cut(_with_pieces(heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))).select("source", "vertex", "head_key", "piece", "place"))
+    lines = heads.select("source", F.concat_ws("\t", "source", F.col("head").cast("string")).alias("vertex"), F.col("head_key").alias("key"))
+    looked = _survivors(lines, None, bit_filter(pieces, "piece")).select("source", F.col("vertex").alias("a"), "key", F.inline("found"))
+    edges = looked.join(pieces, ["source", "piece"]).filter((F.col("a") != F.col("vertex")) & _near(F.col("key"), F.col("head_key"), F.col("at"), F.col("place"))).select("a", F.col("vertex").alias("b"))
+    roots = connected_components(edges).select(F.col("node").alias("vertex"), F.col("component").alias("root"))
+    named = heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))
+    return named.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).drop("vertex")
 
 
 def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(page_id, document_id, source, field_name, line_no, root) of every line that is, exactly or nearly, that of a head of its source."""
     heads = cut(_roots(cut(line_heads(pages, documents))))
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
-    known = heads.withColumn("e", F.explode(_entries(F.col("head_key"), F.col("head")))).select("source", "head_key", "n", "root", "e.spot", "e.anchor")
-    owned = page_lines(pages.join(owners(documents), "document_id"))
+    pieces = cut(_with_pieces(heads).select("source", "piece", "place", "head_key", "n", "root"))
     # hash and letters are made once per line: a generator keeps them from being copied into every use
     made = F.struct(line_hash(F.col("line")).alias("hash"), F.when(F.length("line") <= longest * 2 + 40, letters(F.col("line"))).alias("key"))
-    owned = owned.withColumn("made", F.explode(F.array(made))).select("page_id", "document_id", "source", "field_name", "line_no", "made.hash", "made.key")
-    # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for anchors
-    exact = bounded_broadcast(heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key")))
-    marked = owned.join(exact, ["source", "hash"], "left")
+    lines = page_lines(pages).withColumn("made", F.explode(F.array(made))).select("page_id", "document_id", "field_name", "line_no", "made.hash", "made.key")
+    kept = _survivors(lines, bit_filter(heads, "head"), bit_filter(pieces, "piece")).join(owners(documents), "document_id")
+    # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for pieces
+    exact = heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key"))
+    marked = kept.join(exact, ["source", "hash"], "left")
     keyed = marked.withColumn("own_root", F.when(F.col("own_root").isNotNull() & _close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root"))).drop("own_key")
-    keyed = keyed.filter(F.col("own_root").isNotNull() | (F.length("key").between(LONG, longest + FAR)))
-    entries = F.when(F.col("own_root").isNull(), F.filter(_entries(F.col("key"), F.col("hash")), lambda e: e.spot > 0)).otherwise(F.array(F.struct(F.lit(-1).alias("spot"), F.col("hash").alias("anchor"))))
-    looked = keyed.withColumn("e", F.explode(entries)).select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", "e.spot", "e.anchor")
-    hits = looked.join(bounded_broadcast(known.filter("spot > 0")), ["source", "spot", "anchor"], "left").filter(F.col("own_root").isNotNull() | _close(F.col("key"), F.col("head_key")))
+    looked = keyed.select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", F.explode_outer(F.when(F.col("own_root").isNull(), F.col("found"))).alias("e")).select("*", "e.piece", "e.at").drop("e")
+    hits = looked.join(pieces, ["source", "piece"], "left").filter(F.col("own_root").isNotNull() | _near(F.col("key"), F.col("head_key"), F.col("at"), F.col("place")))
     best = F.coalesce(F.max("own_root"), F.max_by("root", F.struct("n", "root")))
     return hits.groupBy("page_id", "field_name", "line_no").agg(F.first("document_id").alias("document_id"), F.first("source").alias("source"), best.alias("root"))
 

@@ -39,3 +39,56 @@ def test_counts_against_brute_force(spark, tmp_path):
     want = [(p["id"], f, n) for p in pages if p["document_id"] < 60 for f in ("body_text", "header_text") for n, x in enumerate(p[f].split("\n")) if len(seen[p["document_id"] % 3, key(x)]) >= 6]
     got = plain(QUERIES["p7_found"](spark, write_tables(spark, tmp_path, documents=docs, page_contents=pages)).collect())
     assert got == sorted(want) and want
+
+
+def _pages(lines):
+    """A document of one source for each line."""
+    return [{"doc_id": k, "source": "s"} for k in range(len(lines))], [{"id": k, "document_id": k, "page_num": 0, "body_text": f"{chr(97 + k) * 30}\n{x}"} for k, x in enumerate(lines)]
+
+
+def test_two_edits_in_a_short_line(spark, tmp_path):
+    docs, pages = _pages(["printat tablekpwz"] * 6 + ["prinxat tabxekpwz"])
+    got = plain(QUERIES["p7_found"](spark, write_tables(spark, tmp_path, documents=docs, page_contents=pages)).collect())
+    assert got == [(k, "body_text", 1) for k in range(7)]
+
+
+def test_heads_in_a_chain_are_one_line(spark, tmp_path):
+    docs, pages = _pages(["printat tablekpwq"] * 4 + ["prinkat tajlekpwq"] * 5 + ["prinkat tajzekqwq"] * 6)
+    got = plain(QUERIES["p7_found"](spark, write_tables(spark, tmp_path, documents=docs, page_contents=pages)).collect())
+    assert got == [(k, "body_text", 1) for k in range(15)]
+
+
+def test_every_line_within_the_allowed_edits_is_found(spark, tmp_path):
+    import random
+
+    from quirefold.llm import boilerplate
+
+    random.seed(11)
+    letters = "abcdefghijklmnopqrstuvwxyz가나다라"
+    lines, of = [], []
+    for size in (14, 16, 17, 20, 32, 33, 34, 49, 50, 67, 84, 100, 150, 210):
+        head = "".join(random.choice(letters) for _ in range(size))
+        copies = [head] * 6
+        for _ in range(8):
+            x = list(head)
+            for _ in range(boilerplate.allowed_edits(size)):
+                at, kind = random.randrange(len(x)), random.randrange(3)
+                x[at : at + 1] = [[random.choice(letters)], [x[at], random.choice(letters)], []][kind]
+            copies.append("".join(x))
+        lines += copies
+        of += [(size, k) for k in range(len(copies))]
+    docs = [{"doc_id": k, "source": "s"} for k in range(len(lines))]
+    pages = [{"id": k, "document_id": k, "page_num": 0, "body_text": x} for k, x in enumerate(lines)]
+    got = {r.page_id for r in QUERIES["p7_found"](spark, write_tables(spark, tmp_path, documents=docs, page_contents=pages)).collect()}
+    assert [of[k] for k in range(len(lines)) if k not in got and of[k][0] >= boilerplate.LONG] == []
+
+
+def test_filter_holds_all_and_little_else(spark):
+    import numpy as np
+    from quirefold.llm import filters
+
+    rng = np.random.default_rng(1)
+    held = rng.integers(-(2**63), 2**63 - 1, 3000, dtype=np.int64)
+    bits = filters.bit_filter(spark.createDataFrame([(int(x),) for x in [*held, 0, -1]], "v long"), "v")
+    assert filters.in_filter(bits, np.array([*held, 0, -1])).all()
+    assert filters.in_filter(bits, rng.integers(-(2**63), 2**63 - 1, 100_000, dtype=np.int64)).mean() < 0.001
