@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 from helpers import plain, write_tables
-from quirefold.llm.leakage import GRAM, RUN, SPARE, WINDOW, Fingerprints, winnow, words_of
+from quirefold.llm.filters import FILTER_BITS
+from quirefold.llm.leakage import GRAM, RUN, SPARE, WINDOW, Numbers, find_leaks, item_prints, leaks, text_prints, winnow, words_of
 from quirefold.llm.queries import QUERIES
 
 
@@ -20,11 +21,24 @@ def brute(text, passage):
     return False
 
 
+def met(items, text):
+    """The items that leak into a text, by fingerprints, with a filter that passes everything."""
+    numbers = Numbers()
+    ids = numbers.of(text)
+    known = {i: (p, *item_prints(p)) for i, p in ((i, numbers.of(p)) for i, p in items)}
+    hashes, places = text_prints(ids, {k[1] for k in known.values()}, np.full(2**FILTER_BITS // 8, 255, np.uint8))
+    out = set()
+    for i, (passage, _, prints) in known.items():
+        shifts = {int(p) - q for h, p in zip(hashes, places) for x, q in prints if x == h}
+        if shifts and leaks(ids, passage, np.array(sorted(shifts))):
+            out.add(i)
+    return out
+
+
 def test_against_brute_force():
     random.seed(7)
-    words = [f"w{k}" for k in range(60)]
-    items = [(k, " ".join(random.choice(words) for _ in range(random.choice([5, 10, 17, 18, 24, 31, 32, 40, 64])))) for k in range(40)]
-    prints = Fingerprints(items)
+    words = [f"w{k}" for k in range(200)]
+    items = [(k, " ".join(random.choice(words) for _ in range(random.choice([1, 3, 5, 7, 8, 10, 15, 16, 17, 18, 24, 31, 32, 40, 64])))) for k in range(40)]
     hits = 0
     for _ in range(400):
         passage = random.choice(items)[1].split()
@@ -37,7 +51,7 @@ def test_against_brute_force():
             passage = passage[a : a + random.choice([8, 12, 13, 14, 15, 20])]
         text = " ".join([random.choice(words) for _ in range(30)] + passage + [random.choice(words) for _ in range(30)])
         want = {i for i, p in items if brute(text, p)}
-        assert prints.leaks(text) == want
+        assert met(items, text) == want
         hits += len(want)
     assert hits > 50
 
@@ -57,3 +71,21 @@ def test_case_punctuation_spacing(spark, tmp_path):
     texts = ["x " + passage.upper().replace(" ", "\n  ").replace(",", " ;") + " y", " ".join(passage.split()[:13]), " ".join(passage.split()[2:16]), None, passage.replace("vessel", "kiln").replace("rarely", "often"), passage.replace("vessel", "kiln").replace("rarely", "often").replace("coarse", "new")]
     folder = write_tables(spark, tmp_path, documents=[{"doc_id": k, "text": t} for k, t in enumerate(texts)], eval_items=[{"item_id": 9, "passage": passage}, {"item_id": 8, "passage": None}])
     assert plain(QUERIES["p9_found"](spark, folder).collect()) == [(0, 9), (2, 9), (4, 9)]
+
+
+def test_tables_against_brute_force(spark):
+    """Items and documents of all lengths through the joins; one passage of 3,000 words; a phrase that most documents share."""
+    random.seed(8)
+    words = [f"w{k}" for k in range(150)]
+    some = lambda n: " ".join(random.choice(words) for _ in range(n))
+    phrase = some(9)
+    items = [(k, some(n)) for k, n in enumerate((1, 3, 8, 13, 14, 16, 18, 20, 45, 3000))] + [(20, f"{some(8)} {phrase} {some(8)}"), (21, None), (22, " "), (23, some(30))]
+    items.append((24, items[-1][1]))
+    docs = [(k, f"{some(5)} {phrase} {some(20)}") for k in range(60)]
+    for k, (_, p) in enumerate(items):
+        held = (p or "").split()
+        docs += [(100 + k, f"{some(9)} {' '.join(held[len(held) // 3 :][:16])} {some(4)}"), (200 + k, f"{some(3)} {p} {some(3)}"), (200 + k, "")]
+    docs += [(None, items[8][1]), (300, None)]
+    got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string"))
+    want = {(d, i) for d, t in docs for i, p in items if t and p and words_of(p) and brute(t, p)}
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 20 and got.count() == len(want)
