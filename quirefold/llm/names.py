@@ -2,12 +2,15 @@
 
 A spelling is cut into folded tokens (case, accents, titles, particles and small words removed); whole words and initials
 are told apart. Spellings with the same sorted tokens meet at once. The rest are blocked by phonetic codes (Soundex) of
-their sorted tokens and, against a typo that changes the code, by the beginning and the end of each token, each with the
-first letters of the other tokens; a block of more than LARGE spellings is split further, so that no block becomes hot.
-Candidates of a block are compared token by token with Jaro-Winkler, held to one edit
-(so that short invented names do not run together), with a nickname table, with initials and abbreviations, and, for
-organisations, acronyms. Accepted pairs are clustered by connected components. A spelling with initials only is given to
-one person: the best of the matching ones, so that two persons never meet through an initial both could have.
+their sorted tokens: two whole words of a person, all words of an organisation. Against a typo that changes a code, a
+word is also blocked by its beginning, its end and (short words) its first and last letter, and a short given name by the
+codes of the full names it stands for. Spellings with initials, abbreviations or an acronym are short ones: they are
+blocked by one word's code with the first letters of the others, where short ones meet all, but whole ones do not meet
+each other, so that no block of a common surname becomes quadratic. Candidates of a block are compared token by token by
+Jaro-Winkler similarity, with a bound that follows the words' length and an exact check in doubt, with a nickname table, with initials and
+abbreviations, and, for organisations, acronyms. Accepted pairs are clustered by connected components. A short spelling
+is given to one cluster of whole ones: the best of the matching ones, so that two persons never meet through an initial
+both could have.
 
 Defined results: null and empty names are not spellings; a spelling without a whole word matches only itself; ties go to
 the more frequent and then the smaller spelling; exact repeats are one spelling; each pair is given once, a < b.
@@ -26,10 +29,12 @@ from pyspark.sql import functions as F
 from quirefold.operators.components import connected_components
 from quirefold.session import cut
 
-#: Least Jaro-Winkler similarity of two tokens that may be one word with a typo, besides being one edit apart.
-SIMILAR = 0.78
-#: Spellings in a block from which it is split by words without one letter.
-LARGE = 400
+#: Two words of L letters (the longer one) may be one with a typo from a Jaro-Winkler similarity of 1 - TYPO / L: one changed
+#: letter costs at most 0.67 / L, two cost at least 0.8 / L. Repeated letters can cost more, so between that and DOUBTFUL
+#: it is checked whether they are one edit apart.
+TYPO, DOUBTFUL = 0.75, 0.78
+#: Letters up to which a word is also blocked by its first and last letter.
+BRIEF = 5
 #: Common short forms of given names, by the full names they can stand for. Fixed values.
 NICKNAMES = {
     "alexander": "alex sascha sasha sandro xander", "alexandra": "alex sandra sascha", "andreas": "andi", "andrew": "andy drew",
@@ -165,18 +170,25 @@ def one_edit(a: str, b: str) -> bool:
     return a[k:] == b[k + 1 :]
 
 
+def similar(a: str, b: str) -> bool:
+    """Whether two words are as similar, by Jaro-Winkler, as one word with and without a typo; words of fewer than four letters never are."""
+    if min(len(a), len(b)) < 4 or abs(len(a) - len(b)) > 1:
+        return False
+    same = jaro_winkler(a, b)
+    return same >= 1 - TYPO / max(len(a), len(b)) or same >= DOUBTFUL and one_edit(a, b)
+
+
 def same_word(a: str, b: str) -> int | None:
     """Typos between two words: 0 or 1; None if they are different words."""
     if a == b:
         return 0
-    if min(len(a), len(b)) >= 4 and jaro_winkler(a, b) >= SIMILAR and one_edit(a, b):
+    if similar(a, b):
         return 1
     if _FULL.get(a, set()) & (_FULL.get(b, set()) | {b}) or a in _FULL.get(b, set()):
         return 0
-    if min(len(a), len(b)) >= 4:  # a short form with a typo, or of a name with one
-        for x, y in ((a, b), (b, a)):
-            if any(one_edit(x, f) for f in _FULL.get(y, ())):
-                return 1
+    for x, y in ((a, b), (b, a)):  # a short form of a name with a typo
+        if any(similar(x, f) for f in _FULL.get(y, ())):
+            return 1
     return None
 
 
@@ -261,28 +273,35 @@ def same_organisation(a: str, b: str) -> int | None:
     return typos if not left and not right else None
 
 
+def _codes(word: str) -> set[str]:
+    """The codes of a word: phonetic, by its beginning and its end, and for a brief word by its first and last letter."""
+    return {f"s{soundex(word)}", f"b{word[:3]}", f"e{word[-3:]}"} | ({f"o{word[0]}{word[-1]}"} if len(word) <= BRIEF else set())
+
+
 def blocks(kind: str, name: str) -> list[tuple[str, str]]:
-    """(block, word) of the blocks in which a spelling is compared, each with the word it comes from."""
+    """(block, role) of the blocks in which a spelling is compared. In a block of role ``both`` all meet; ``short`` ones meet all, ``whole`` ones only these."""
+    out: set[tuple[str, str]] = set()
     if kind == "author":
         words, initials = person_tokens(name)
-        out = set()
-        for w in words:
-            others = {c for x in words if x is not w for c in _first_letters(x)} or set(initials[:1]) or {""}
-            for o in others:
-                out |= {(f"s{soundex(w)}{o}", w), (f"b{w[:3]}{o}", w), (f"e{w[-3:]}{o}", w)}
+        codes = [{c for x in (w, *_FULL.get(w, ())) for c in _codes(x)} for w in words]
+        for i in range(len(words)):
+            for j in range(i):
+                out |= {("2" + "|".join(sorted((a, b))), "both") for a in codes[i] for b in codes[j]}
+        role = "short" if len(words) == 1 else "whole"
+        for i, w in enumerate(words):
+            others = {c for j, x in enumerate(words) if j != i for c in _first_letters(x)} or set(initials[:1]) or {""}
+            out |= {(f"1{a}|{o}", role) for a in _codes(w) for o in others}
         return sorted(out)
     words, short, acronym = organisation_tokens(name)
-    out = set()
-    for w in words:
-        if len(w) < 5:
+    role = "short" if short or acronym else "whole"
+    for i, w in enumerate(words):
+        if len(w) < 4:
             continue
-        others = "".join(sorted([x[0] for x in words if x is not w] + [x[0] for x in short] + list(acronym)))
-        out |= {(f"s{soundex(w)}{others}", w), (f"b{w[:3]}{others}", w), (f"e{w[-3:]}{others}", w)}
-    # a typo in a first letter: the codes of the words but one
-    codes = sorted(soundex(w) for w in words)
-    if len(codes) > 2:
-        longest = max(words, key=lambda w: (len(w), w))
-        out |= {("c" + "".join(codes[:k] + codes[k + 1 :]), longest) for k in range(len(codes))}
+        rest = [x for j, x in enumerate(words) if j != i]
+        if role == "whole":
+            out |= {(f"2{a}|{'|'.join(sorted(map(soundex, rest)))}", "both") for a in _codes(w)}
+        letters = "".join(sorted([x[0] for x in rest] + [x[0] for x in short] + list(acronym)))
+        out |= {(f"1{a}|{letters}", role) for a in _codes(w)}
     return sorted(out)
 
 
@@ -308,17 +327,15 @@ def link(spellings: DataFrame) -> DataFrame:
 
     def blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, x, w, key, name, n) for k, key, name, n in zip(b.kind, b.key, b.name, b.n) for x, w in blocks(k, name)]
-            yield pd.DataFrame(rows, columns=["kind", "block", "word", "key", "name", "n"])
-
-    spread = cut(reps.select("kind", "key", "name", "n").mapInPandas(blocked, "kind string, block string, word string, key string, name string, n long"))
-    # in a large block only words that share what is left without one letter meet: every pair within one edit does
-    large = spread.groupBy("kind", "block").agg(F.count("*").alias("size")).filter(F.col("size") > LARGE).select("kind", "block", F.lit(True).alias("large"))
-    without_one = F.transform(F.sequence(F.lit(1), F.greatest(F.length("word"), F.lit(1))), lambda i: F.concat(F.substr("word", F.lit(1), i - 1), F.substr("word", i + 1)))
-    parts = F.when(F.col("large"), F.array_distinct(F.concat(F.array("word"), without_one))).otherwise(F.array(F.lit("")))
-    fine = spread.join(large, ["kind", "block"], "left").withColumn("part", F.explode(parts)).select("kind", "block", "part", "key", "name", "n")
-    other = fine.select("kind", "block", "part", F.col("key").alias("key2"), F.col("name").alias("name2"), F.col("n").alias("n2"))
-    pairs = fine.join(other, ["kind", "block", "part"]).filter("key < key2").dropDuplicates(["kind", "key", "key2"])
+            rows = [(k, x, role, key, name, n) for k, key, name, n in zip(b.kind, b.key, b.name, b.n) for x, role in blocks(k, name)]
+            yield pd.DataFrame(rows, columns=["kind", "block", "role", "key", "name", "n"])
+
+    spread = cut(reps.select("kind", "key", "name", "n").mapInPandas(blocked, "kind string, block string, role string, key string, name string, n long"))
+    left = spread.filter("role <> 'whole'").select("kind", "block", "role", F.struct("key", "name", "n").alias("x"))
+    right = spread.select("kind", "block", F.col("role").alias("role2"), F.struct("key", "name", "n").alias("y"))
+    met = left.join(right, ["kind", "block"]).filter("x.key < y.key OR x.key > y.key AND role2 = 'whole'")
+    one, two = F.least("x", "y"), F.greatest("x", "y")
+    pairs = met.select("kind", one.key.alias("key"), two.key.alias("key2"), one["name"].alias("name"), two["name"].alias("name2"), one.n.alias("n"), two.n.alias("n2")).dropDuplicates(["kind", "key", "key2"])
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -332,11 +349,15 @@ def link(spellings: DataFrame) -> DataFrame:
     edges = cut(pairs.select("kind", "key", "key2", "name", "name2", "n", "n2").mapInPandas(compared, "kind string, key string, key2 string, n long, n2 long, typos int, short boolean, short2 boolean"))
     whole = edges.filter("not short and not short2").select("kind", "key", "key2")
     prefix = lambda c: F.concat("kind", F.lit("\t"), c)
-    # a spelling with initials goes to one whole name: fewest typos, then the more frequent one
-    mixed = edges.filter("short and not short2").select("kind", F.col("key").alias("s"), F.col("key2").alias("w"), "typos", F.col("n2").alias("n")).union(
-        edges.filter("short2 and not short").select("kind", F.col("key2").alias("s"), F.col("key").alias("w"), "typos", "n")
-    )
-    chosen = mixed.groupBy("kind", "s").agg(F.max_by("w", F.struct(-F.col("typos"), "n", F.col("w"))).alias("w"))
+    clusters = connected_components(whole.select(prefix(F.col("key")).alias("a"), prefix(F.col("key2")).alias("b")))
+    # a short spelling goes to one cluster of whole ones: fewest typos, then the more frequent cluster
+    size = cut(reps.select(prefix(F.col("key")).alias("node"), "n").join(clusters, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component")))
+    total = size.groupBy("component").agg(F.sum("n").alias("total"))
+    mixed = edges.filter("short and not short2").select("kind", F.col("key").alias("s"), F.col("key2").alias("w"), "typos").union(edges.filter("short2 and not short").select("kind", F.col("key2").alias("s"), F.col("key").alias("w"), "typos"))
+    chosen = (
+        mixed.withColumn("node", prefix(F.col("w"))).join(size.select("node", "component"), "node").join(total, "component")
+        .groupBy("kind", "s").agg(F.max_by("w", F.struct(-F.col("typos"), "total", F.col("w"))).alias("w"))
+    )
     alone = edges.filter("short and short2").select("kind", "key", "key2")
     free = alone.join(chosen.select("kind", F.col("s").alias("key")), ["kind", "key"], "left_anti").join(chosen.select("kind", F.col("s").alias("key2")), ["kind", "key2"], "left_anti").select("kind", "key", "key2")
     final = whole.union(chosen.select("kind", "s", "w")).union(free)

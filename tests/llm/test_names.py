@@ -11,9 +11,7 @@ ORGS = [
 
 
 @pytest.mark.parametrize("kind,groups,same", [("author", PERSONS, names.same_person), ("affiliation", ORGS, names.same_organisation)])
-@pytest.mark.parametrize("large", [400, 0])
-def test_pairs_and_clusters(spark, monkeypatch, kind, groups, same, large):
-    monkeypatch.setattr(names, "LARGE", large)
+def test_pairs_and_clusters(spark, kind, groups, same):
     for g in groups:
         for h in groups:
             if g is not h:
@@ -55,3 +53,32 @@ def test_one_edit_against_brute_force():
         close = near(a)
         for b in words:
             assert names.one_edit(a, b) == (b in close), (a, b)
+
+
+def test_a_common_surname_gives_no_quadratic_block():
+    """Whole names of one surname and one initial meet only where both words sound alike."""
+    from collections import Counter
+
+    given = ["martin", "mabel", "moritz", "mildred", "magnus", "mercedes", "mustafa", "melchior", "monique", "maxim"]
+    met = Counter(b for g in given for b, role in names.blocks("author", f"{g.capitalize()} Liralil") if role == "both")
+    assert max(met.values()) <= 2
+    assert {r for _, r in names.blocks("author", "M. Liralil")} == {"short"}
+
+
+def test_blocks_meet_for_every_typo():
+    """Two spellings of which one has a typo in one word share a block."""
+    import random
+
+    random.seed(4)
+    for _ in range(3000):
+        words = ["".join(random.choice("abdeiklmnorstuv") for _ in range(random.randint(4, 9))) for _ in range(random.choice([2, 3]))]
+        k = random.randrange(len(words))
+        w = list(words[k])
+        at = random.randrange(len(w))
+        w[at : at + 1] = random.choice([[random.choice("aeiouklm")], [w[at], random.choice("aeiouklm")], []])
+        if len(w) < 4:
+            continue
+        other = [*words[:k], "".join(w), *words[k + 1 :]]
+        for kind in ("author", "affiliation"):
+            a, b = ({x for x, role in names.blocks(kind, " ".join(x.capitalize() for x in n)) if role == "both"} for n in (words, other))
+            assert a & b, (kind, words, other)
