@@ -5,11 +5,14 @@ bytes can still depend on: the longest suffix that begins a longer token, and th
 prefix that ends in it. An encoding is the only token sequence whose adjacent pairs are each what BPE makes of their
 bytes, so the last token of the next prefix is the longest vocabulary suffix that agrees with the prefix before it.
 States are determinised lazily: the arcs of a state are made when a text first takes them, and equal states are one.
-Emission has bounded lookahead: what lies before the live suffix is final.
+A prefix that can still become the end of a token ends in the live suffix, which is shorter than the longest token; once
+all of these prefixes have their last boundary in common, what lies before it is final. It is given out every
+``LOOKAHEAD`` bytes, so that a pre-token of any length is run with a short buffer.
 
 Texts are read in one streaming pass: the pre-token pattern cuts them, each pre-token is looked up in the transducer's
 memo of finished paths and run through the arcs only when it is new. ``decode`` streams the other way by an incremental
-UTF-8 state machine. The vocabulary file's path is a parameter; the file is read on each executor.
+UTF-8 state machine. The vocabulary file's path is a parameter; the file is read on the driver and goes to the executors
+with the task.
 
 Defined results: null and empty texts give an empty list; strings that look like special tokens are ordinary text;
 lone surrogates cannot occur in Spark strings; repeated rows are each encoded; other columns are ignored.
@@ -33,6 +36,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 MEMO = 400_000
 #: States kept per Python worker; beyond it they are made anew.
 STATES = 50_000
+#: Bytes of a pre-token after which what is final is given out.
+LOOKAHEAD = 256
 #: Where the public vocabulary files lie unless told otherwise.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -119,22 +124,46 @@ class Transducer:
         self.arcs[state][byte] = number
         return number
 
+    def _final(self, ends: list[int], live: int) -> int:
+        """The last boundary that all prefixes ending in the last ``live`` bytes have in common; ``ends`` holds the last token of each prefix."""
+        n = len(ends)
+        if live >= n:
+            return 0
+        back = lambda at: at - len(self.tokens[ends[at - 1]])
+        known, at = {0}, n - live
+        common = at
+        while at > 0:
+            known.add(at)
+            at = back(at)
+        for at in range(n - live + 1, n + 1):
+            while at not in known:
+                at = back(at)
+            common = min(common, at)
+        return common
+
     def _run(self, piece: bytes) -> tuple[int, ...]:
-        """The tokens of one pre-token: forward over the arcs, then the last tokens read backwards."""
+        """The tokens of one pre-token: forward over the arcs; what is final is read backwards and given out."""
         if len(self.states) > STATES:
             self._restart()
-        state, ends = 0, []
+        state, ends, out = 0, [], []
         arcs = self.arcs
+
+        def give(upto: int) -> None:
+            tokens, at = [], upto
+            while at > 0:
+                tokens.append(ends[at - 1])
+                at -= len(self.tokens[tokens[-1]])
+            out.extend(reversed(tokens))
+            del ends[:upto]
+
         for byte in piece:
             following = arcs[state].get(byte)
             state = self._step(state, byte) if following is None else following
             ends.append(self.states[state][1][-1])
-        out, at = [], len(piece)
-        while at > 0:
-            token = ends[at - 1]
-            out.append(token)
-            at -= len(self.tokens[token])
-        return tuple(reversed(out))
+            if not len(ends) % LOOKAHEAD:
+                give(self._final(ends, len(self.states[state][0])))
+        give(len(ends))
+        return tuple(out)
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a text; null and empty texts give an empty list."""
@@ -163,20 +192,40 @@ class Transducer:
 
 
 @lru_cache(maxsize=4)
-def transducer(path: str = VOCABULARY) -> Transducer:
-    """The transducer of a vocabulary file (base64 token and rank per line), compiled once per Python worker."""
-    lines = (line.split() for line in Path(path).read_bytes().splitlines())
+def compiled(vocabulary: bytes) -> Transducer:
+    """The transducer of a vocabulary (base64 token and rank per line), compiled once per Python worker."""
+    lines = (line.split() for line in vocabulary.splitlines())
     return Transducer({base64.b64decode(x[0]): int(x[1]) for x in lines if len(x) == 2})
 
 
+def transducer(path: str = VOCABULARY) -> Transducer:
+    """The transducer of a vocabulary file."""
+    return compiled(Path(path).read_bytes())
+
+
 def encode_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(id_column, ids ARRAY<INT>) of every row of ``df``; rows stay where they are, there is no shuffle."""
+    held = Path(vocabulary).read_bytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = transducer(vocabulary)
+        machine = compiled(held)
         for b in batches:
             encoded = [machine.encode(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(encoded, pa.list_(pa.int32()))], names=[id_column, "ids"])
 
     kind = dict(df.dtypes)[id_column]
     return df.select(id_column, text_column).mapInArrow(run, f"{id_column} {kind}, ids array<int>")
+
+
+def decode_texts(df: DataFrame, id_column: str = "doc_id", ids_column: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
+    """(id_column, text) of every row of ``df``: its ids as text, empty for no ids."""
+    held = Path(vocabulary).read_bytes()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = compiled(held)
+        for b in batches:
+            texts = ["".join(machine.decode(ids or ())) for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=[id_column, "text"])
+
+    kind = dict(df.dtypes)[id_column]
+    return df.select(id_column, ids_column).mapInArrow(run, f"{id_column} {kind}, text string")

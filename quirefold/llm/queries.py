@@ -65,6 +65,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode_texts(table(spark, d, "documents"))
 
 
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The texts that the ids decode to."""
+    return encoding.decode_texts(p8_ids(spark, d))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -93,8 +98,9 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_cleaned": p7_cleaned,
     "p8_ids": p8_ids,
+    "p8_decoded": p8_decoded,
     "p9_found": p9_found,
     "p10_found": p10_found,
     "p10_restored": p10_restored,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}

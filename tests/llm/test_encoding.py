@@ -31,6 +31,20 @@ def test_same_ids_as_a_public_implementation_and_round_trip(peer):
 def test_few_states_and_memo_do_not_change_ids(peer, monkeypatch):
     monkeypatch.setattr(encoding, "MEMO", 3)
     monkeypatch.setattr(encoding, "STATES", 5)
+    monkeypatch.setattr(encoding, "LOOKAHEAD", 4)
     machine = encoding.Transducer(encoding.transducer().ranks)
     text = "Each pipeline from Futunfeld carries a well-known reading, 다만 통로는 북부의 센서를. " * 5
     assert machine.encode(text) == peer.encode_ordinary(text)
+
+
+def test_what_is_final_is_given_out_within_a_pretoken(peer, monkeypatch):
+    """With a lookahead of a few bytes the buffer stays short and the ids are the same."""
+    monkeypatch.setattr(encoding, "LOOKAHEAD", 8)
+    longest = []
+    machine = encoding.Transducer(encoding.transducer().ranks)
+    final = machine._final
+    monkeypatch.setattr(machine, "_final", lambda ends, live: longest.append(len(ends)) or final(ends, live))
+    random.seed(6)
+    for text in ("".join(random.choice("abcdefghijklmnoprstuvw") for _ in range(4000)), "가나다라마바사" * 500, "thequickbrownfox" * 300):
+        assert machine.encode(text) == peer.encode_ordinary(text)
+    assert max(longest) <= 300
