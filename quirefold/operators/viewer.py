@@ -11,63 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.operators.pages import SENTENCE_END, _is_caption
-
-
-def strip_captions(text: str) -> str:
-    """``text`` without caption lines; a sentence that a caption cut in two is mended."""
-    out: list[str] = []
-    cut = False
-    for line in text.split("\n"):
-        if _is_caption(line.strip()):
-            cut = True
-        elif cut and line.strip() and out and out[-1].rstrip() and out[-1].rstrip()[-1] not in SENTENCE_END and line.lstrip()[0].islower():
-            out[-1] = f"{out[-1].rstrip()} {line.lstrip()}"
-            cut = False
-        else:
-            out.append(line)
-            cut = cut and not line.strip()
-    return "\n".join(out)
-
-
-def paragraphs_reflow(text: str) -> str:
-    """Each blank-separated paragraph as one line; a hyphen at a line end glues."""
-    parts = re.split(r"\n\s*\n", text.strip())
-    return "\n\n".join(re.sub(r"\s*\n\s*", " ", re.sub(r"-\n\s*", "", p.strip())) for p in parts if p.strip())
-
-
-def wrap(text: str, width: int = 33) -> list[str]:
-    """``text`` in lines of at most ``width`` characters, broken at blanks where possible."""
-    out, line = [], ""
-    for word in text.split():
-        while len(word) > width:
-            if line:
-                out, line = [*out, line], ""
-            out, word = [*out, word[:width]], word[width:]
-        if line and len(line) + 1 + len(word) > width:
-            out, line = [*out, line], word
-        else:
-            line = f"{line} {word}".strip()
-    return [*out, line] if line else out
-
-
-def align_rows(rows: list[str], words: list[str]) -> list[str]:
-    """``words`` handed out to rows in proportion to the rows' own words; the last row that has words takes the rest."""
-    sizes = [len(r.split()) for r in rows]
-    total, last, out, at = sum(sizes), max((k for k, n in enumerate(sizes) if n), default=-1), [], 0
-    for k, n in enumerate(sizes):
-        take = 0 if not n else len(words) - at if k == last else max(1, round(n / total * len(words)))
-        out.append(" ".join(words[at : at + take]))
-        at += take
-    return out
-
-
-def markdown_table(columns: list[list[str]], titles: list[str]) -> str:
-    """Columns of lines side by side as a Markdown table."""
-    rows = max((len(c) for c in columns), default=0)
-    cell = lambda c, k: c[k].replace("|", "\\|") if k < len(c) else ""
-    return "\n".join(["| " + " | ".join(titles) + " |", "|" + " --- |" * len(titles), *("| " + " | ".join(cell(c, k) for c in columns) + " |" for k in range(rows))])
-
 
 def parse_markdown(text: str) -> list[list[str]]:
     """The cells of the Markdown table rows in ``text``, without the rule below the head."""

@@ -181,6 +181,13 @@ def compose_multicol(s, d):
     return P.compose_pages(w, gaps, L.body_start(L.two_sided(w, gaps), HEIGHT), height=HEIGHT)
 
 
+@query("compose_multicol_captions")
+def compose_multicol_captions(s, d):
+    w = words(s, d)
+    gaps = L.column_gap(w, WIDTH)
+    return P.compose_pages(w, gaps, L.body_start(L.two_sided(w, gaps), HEIGHT), height=HEIGHT, captions=True)
+
+
 @query("page_text_with_assets")
 def page_text_with_assets(s, d):
     w = words(s, d)

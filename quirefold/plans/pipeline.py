@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quirefold.functions import columns as C
 from quirefold.functions import text as T
 from quirefold.operators import layout as L
 from quirefold.operators import pages as P
-from quirefold.operators import viewer
 from quirefold.plans import boxes, edges, texts
 from quirefold.plans.catalog import assets, docs, in_time, logs, meta, pages
-from quirefold.plans.sqltext import WORDS, count, strip
+from quirefold.plans.sqltext import WORDS, count, lstrip, q, rstrip, strip
 from quirefold.sources import office
 
 QUERIES: dict = {}
@@ -158,27 +158,114 @@ def pptx_profile_source(s, d):
 
 # ---- page functions over the stored pages -----------------------------------------------------------------------
 
+_EMPTY = "chr(10) || chr(10)"
+_LOWER = q(C.T_LOWER)
 
-def _over_pages(name: str, columns: list[str], f: Callable[..., str], doc: str) -> None:
-    @query(name)
-    def run(s, d) -> DataFrame:
-        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                yield pd.DataFrame({"id": b.id, "text": [f(*("" if v is None else v for v in row)) for row in zip(*(b[c] for c in columns))]})
 
-        return pages(s, d).select("id", *columns).mapInPandas(each, "id long, text string")
+def _caption(c: str) -> str:
+    return f"(regexp_matches({c}, {q(T.FIGURE_CAPTION)}) OR regexp_matches({c}, {q(T.TABLE_CAPTION)}))"
 
-    run.__doc__ = doc
 
+def _parts(c: str) -> str:
+    return f"list_filter(string_split({strip(c)}, {_EMPTY}), lambda x: {strip('x')} <> '')"
 
-_over_pages("join_columns", ["header_text", "body_text"], P.join_columns, "Header and body of each page joined as two columns.")
-_over_pages("join_columns_captions", ["body_text", "footer_text"], P.join_columns_captions, "Body and footer of each page joined as two columns with captions.")
-_over_pages("join_zones", ["header_text", "body_text"], lambda h, b: P.join_zones([("text", h), ("asset", "[FIGURE_000]"), ("text", b)]), "A tag between header and body of each page.")
-_over_pages("strip_captions", ["body_text"], viewer.strip_captions, "Each page's body without caption lines.")
-_over_pages("legacy_reflow", ["body_text"], viewer.paragraphs_reflow, "Each page's paragraphs as one line.")
-_over_pages("wrap_col", ["body_text"], lambda t: "\n".join(viewer.wrap(t)), "Each page's body wrapped at 33 characters.")
-_over_pages("align_rows", ["body_text", "header_text"], lambda b, h: "\n".join(viewer.align_rows(b.split("\n"), (h or b).split())), "The header's words handed out to the body's lines.")
-_over_pages("make_3col_table", ["header_text", "body_text", "footer_text"], lambda *t: viewer.markdown_table([x.split("\n") for x in t], ["header", "body", "footer"]), "Each page's three fields side by side.")
+
+def _stack(*texts: str) -> str:
+    return f"array_to_string(list_filter([{', '.join(texts)}], lambda x: x <> ''), {_EMPTY})"
+
+
+def _joined_sql(src: str) -> str:
+    """Steps from ``src`` (id, l, r, ...) to ``src``_j with the joined ``text``."""
+    caption = _caption(strip("x"))
+    last = f"regexp_replace(lower(regexp_extract(tail, {q(C.LAST_WORD)}, 1)), '[.,;:?!]+\\z', '')"
+    words = ", ".join(f"'{w}'" for w in C.MID_SENTENCE)
+    return f"""{src}_a AS (SELECT *, {_parts('l')} AS ls, {_parts('r')} AS rs FROM {src}),
+{src}_b AS (SELECT *, greatest(coalesce(list_position(list_transform(rs, lambda x: {caption}), false), 0) - 1, 0) AS n FROM {src}_a),
+{src}_c AS (SELECT *, coalesce({rstrip('ls[len(ls)]')}, '') AS tail, coalesce({lstrip('rs[n + 1]')}, '') AS head FROM {src}_b),
+{src}_d AS (SELECT *, len(ls) > 0 AND len(rs) > 0 AND NOT regexp_matches(tail, {q(C.ENDED)}) AND (regexp_matches(head, {_LOWER}) OR regexp_matches(head, {q(C.ABBREVIATION)}) OR (n > 0 AND {last} IN ({words}))) AS met,
+  CASE WHEN ends_with(tail, '-') THEN left(tail, length(tail) - 1) || head ELSE tail || ' ' || head END AS glued FROM {src}_c),
+{src}_j AS (SELECT *, CASE WHEN met THEN {_stack(f"array_to_string(list_append(ls[1:len(ls) - 1], glued), {_EMPTY})", f"array_to_string(list_concat(rs[1:n], rs[n + 2:len(rs)]), {_EMPTY})")} ELSE {_stack(strip('l'), strip('r'))} END AS text FROM {src}_d)"""
+
+
+def _text(c: str) -> Column:
+    return F.coalesce(c, F.lit(""))
+
+
+@query("join_columns", f"WITH s AS (SELECT id, coalesce(header_text, '') AS l, coalesce(body_text, '') AS r FROM page_contents), {_joined_sql('s')} SELECT id, text FROM s_j")
+def join_columns(s, d):
+    """Header and body of each page joined as two columns."""
+    return pages(s, d).select("id", C.join_columns(_text("header_text"), _text("body_text")).alias("text"))
+
+
+_AROUND = f"""s AS (SELECT id, coalesce(body_text, '') AS l0, coalesce(footer_text, '') AS r0 FROM page_contents),
+f AS (SELECT *, {_parts('l0')} AS pl, {_parts('r0')} AS pr FROM s),
+g AS (SELECT *, list_position(list_reverse(list_transform(pl, lambda x: {_caption(strip('x'))})), false) AS k, list_position(list_transform(pr, lambda x: {_caption(strip('x'))} OR ends_with({strip('x')}, '…') OR regexp_matches({strip('x')}, {q('^' + T.REF_TAG)})), false) AS m FROM f),
+h AS (SELECT *, len(pl) - CASE WHEN coalesce(k, 0) = 0 THEN len(pl) ELSE k - 1 END AS keep, CASE WHEN coalesce(m, 0) = 0 THEN len(pr) ELSE m - 1 END AS aside FROM g),
+i AS (SELECT *, len(pl) = 0 OR len(pr) = 0 OR (keep = len(pl) AND aside = 0) AS plain FROM h),
+o AS (SELECT *, CASE WHEN plain THEN l0 ELSE array_to_string(pl[1:keep], {_EMPTY}) END AS l, CASE WHEN plain THEN r0 ELSE array_to_string(pr[aside + 1:len(pr)], {_EMPTY}) END AS r FROM i)"""
+
+
+@query("join_columns_captions", f"WITH {_AROUND}, {_joined_sql('o')}, y AS (SELECT *, {_parts('text')} AS j FROM o_j) SELECT id, CASE WHEN plain THEN text ELSE array_to_string(list_concat(list_concat(j[1:keep], list_concat(pl[keep + 1:len(pl)], pr[1:aside])), j[keep + 1:len(j)]), {_EMPTY}) END AS text FROM y")
+def join_columns_captions(s, d):
+    """Body and footer of each page joined as two columns with captions."""
+    return pages(s, d).select("id", C.join_columns_captions(_text("body_text"), _text("footer_text")).alias("text"))
+
+
+@query("join_zones", f"""WITH s AS (SELECT id, coalesce(header_text, '') AS h, coalesce(body_text, '') AS t FROM page_contents),
+e AS (SELECT *, regexp_extract({rstrip('h')}, '[^\n]*\\z') AS b, regexp_extract({lstrip('t')}, '\\A[^\n]*') AS a FROM s)
+SELECT id, CASE WHEN b <> '' AND NOT regexp_matches(b, {q(C.FINISHED)}) AND regexp_matches(a, {_LOWER}) THEN {strip(f"{rstrip('h')} || ' [FIGURE_000] ' || {lstrip('t')}")} ELSE {_stack(strip('h'), "'[FIGURE_000]'", strip('t'))} END AS text FROM e""")
+def join_zones(s, d):
+    """A tag between header and body of each page."""
+    return pages(s, d).select("id", C.join_zones(_text("header_text"), F.lit("[FIGURE_000]"), _text("body_text")).alias("text"))
+
+
+@query("strip_captions", f"""SELECT id, r.done || coalesce(r.now, '') AS text FROM (SELECT id, list_reduce(list_prepend({{'done': '', 'now': NULL::VARCHAR, 'cut': false}}, list_transform(string_split(coalesce(body_text, ''), chr(10)), lambda x: {{'done': '', 'now': x, 'cut': false}})),
+lambda a, b: CASE WHEN {_caption(strip('b.now'))} THEN {{'done': a.done, 'now': a.now, 'cut': true}}
+WHEN a.cut AND {strip('b.now')} <> '' AND {rstrip("coalesce(a.now, '')")} <> '' AND NOT regexp_matches({rstrip('a.now')}, {q(C.FINISHED)}) AND regexp_matches({lstrip('b.now')}, {_LOWER}) THEN {{'done': a.done, 'now': {rstrip('a.now')} || ' ' || {lstrip('b.now')}, 'cut': false}}
+ELSE {{'done': CASE WHEN a.now IS NULL THEN a.done ELSE a.done || a.now || chr(10) END, 'now': b.now, 'cut': a.cut AND {strip('b.now')} = ''}} END) AS r FROM page_contents)""")
+def strip_captions(s, d):
+    """Each page's body without caption lines."""
+    return pages(s, d).select("id", C.strip_captions(_text("body_text")).alias("text"))
+
+
+@query("legacy_reflow", f"SELECT id, array_to_string(list_transform(list_filter(regexp_split_to_array({strip('t')}, {q(rf'\n{T.SPACE}*\n')}), lambda x: {strip('x')} <> ''), lambda x: regexp_replace(regexp_replace({strip('x')}, {q(rf'-\n{T.SPACE}*')}, '', 'g'), {q(rf'{T.SPACE}*\n{T.SPACE}*')}, ' ', 'g')), {_EMPTY}) AS text FROM (SELECT id, coalesce(body_text, '') AS t FROM page_contents)")
+def legacy_reflow(s, d):
+    """Each page's paragraphs as one line."""
+    return pages(s, d).select("id", C.paragraphs_reflow(_text("body_text")).alias("text"))
+
+
+@query("wrap_col", f"""SELECT id, r.done || r.now AS text FROM (SELECT id, list_reduce(list_prepend({{'done': '', 'now': ''}}, list_transform(flatten(list_transform(list_filter(regexp_split_to_array(coalesce(body_text, ''), {q(T.SPACE + '+')}), lambda x: x <> ''), lambda x: regexp_extract_all(x, '(?s).{{1,33}}'))), lambda x: {{'done': '', 'now': x}})),
+lambda a, b: CASE WHEN a.now = '' THEN {{'done': a.done, 'now': b.now}} WHEN length(a.now) + 1 + length(b.now) > 33 THEN {{'done': a.done || a.now || chr(10), 'now': b.now}} ELSE {{'done': a.done, 'now': a.now || ' ' || b.now}} END) AS r FROM page_contents)""")
+def wrap_col(s, d):
+    """Each page's body wrapped at 33 characters."""
+    return pages(s, d).select("id", C.wrap(_text("body_text")).alias("text"))
+
+
+def _words_of(c: str) -> str:
+    return f"list_filter(regexp_split_to_array({c}, {q(T.SPACE + '+')}), lambda x: x <> '')"
+
+
+@query("align_rows", f"""WITH s AS (SELECT id, string_split(coalesce(body_text, ''), chr(10)) AS lines, {_words_of("coalesce(nullif(header_text, ''), body_text, '')")} AS w FROM page_contents),
+n AS (SELECT *, list_transform(lines, lambda r: len({_words_of('r')})) AS sizes FROM s),
+m AS (SELECT *, list_sum(sizes) AS total, len(sizes) - list_position(list_reverse(list_transform(sizes, lambda n: n > 0)), true) + 1 AS last FROM n),
+t AS (SELECT *, list_transform(sizes, lambda x, i: CASE WHEN x = 0 THEN 0 WHEN i = last THEN len(w) ELSE greatest(1, CAST(round_even(x / total * len(w), 0) AS BIGINT)) END) AS takes FROM m)
+SELECT id, array_to_string(list_transform(takes, lambda x, i: array_to_string(w[coalesce(list_sum(takes[1:i - 1]), 0) + 1:coalesce(list_sum(takes[1:i - 1]), 0) + x], ' ')), chr(10)) AS text FROM t""")
+def align_rows(s, d):
+    """The header's words (the body's where there is no header) handed out to the body's lines."""
+    words = F.filter(F.split(F.coalesce(F.nullif("header_text", F.lit("")), "body_text", F.lit("")), rf"{T.SPACE}+"), lambda w: w != "")
+    return pages(s, d).select("id", C.let(F.struct(F.split(_text("body_text"), "\n").alias("lines"), words.alias("w")), lambda x: F.array_join(C.align_rows(x.lines, x.w), "\n")).alias("text"))
+
+
+def _cell(c: str) -> str:
+    return f"coalesce(replace({c}[i + 1], '|', '\\|'), '')"
+
+
+@query("make_3col_table", f"""SELECT id, array_to_string(list_concat(['| header | body | footer |', '| --- | --- | --- |'], list_transform(range(greatest(len(h), len(b), len(f))), lambda i: '| ' || {_cell('h')} || ' | ' || {_cell('b')} || ' | ' || {_cell('f')} || ' |')), chr(10)) AS text
+FROM (SELECT id, string_split(coalesce(header_text, ''), chr(10)) AS h, string_split(coalesce(body_text, ''), chr(10)) AS b, string_split(coalesce(footer_text, ''), chr(10)) AS f FROM page_contents)""")
+def make_3col_table(s, d):
+    """Each page's three fields side by side."""
+    lines = [F.split(_text(c), "\n") for c in ("header_text", "body_text", "footer_text")]
+    return pages(s, d).select("id", C.markdown_table(lines, ["header", "body", "footer"]).alias("text"))
 
 
 @query("inject_scanned")

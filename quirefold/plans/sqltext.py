@@ -14,6 +14,14 @@ def strip(c: str) -> str:
     return f"regexp_replace({c}, {q(rf'\A{T.SPACE}+|{T.SPACE}+\z')}, '', 'g')"
 
 
+def lstrip(c: str) -> str:
+    return f"regexp_replace({c}, {q(rf'\A{T.SPACE}+')}, '')"
+
+
+def rstrip(c: str) -> str:
+    return f"regexp_replace({c}, {q(rf'{T.SPACE}+\z')}, '')"
+
+
 def count(c: str, pattern: str) -> str:
     return f"len(regexp_extract_all({c}, {q(pattern)}))"
 

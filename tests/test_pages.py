@@ -3,7 +3,9 @@ import random
 import numpy as np
 import pandas as pd
 from quirefold.operators import images, layout
-from quirefold.operators.pages import Asset, Box, academic_header, caption_refs, compose_multicol, inject_scanned, join_columns, join_columns_captions, join_zones, page_text_with_assets, to_lines, to_paragraphs
+from pyspark.sql import functions as F
+from quirefold.functions import columns as C
+from quirefold.operators.pages import Asset, Box, academic_header, caption_refs, compose_pages, inject_scanned, join_zones, page_text_with_assets, to_lines, to_paragraphs
 
 
 def line(text, top, x=50.0):
@@ -27,23 +29,52 @@ def test_raised_words_join_their_line():
     assert len(to_lines(base + [Box("far", 400.0, 420.0, 106.0, 112.0)])) == 2
 
 
-def test_columns():
-    assert join_columns("The end is", "near the sea.\n\nNew part.") == "The end is near the sea.\n\nNew part."
-    assert join_columns("A bro-", "ken word.") == "A broken word."
-    assert join_columns("Done.", "next one") == "Done.\n\nnext one"
-    assert join_columns("as shown in the", "Figure 1. A map\n\nMap of it.") == "as shown in the Map of it.\n\nFigure 1. A map"
-    assert join_columns("the memory", "(HBM3) is fast") == "the memory (HBM3) is fast"
-    assert join_columns("", "only") == "only"
-    assert join_columns_captions("Words that\n\nTable 2. Sizes", "[FIGURE_000]\n\ngo on.") == "Words that go on.\n\nTable 2. Sizes\n\n[FIGURE_000]"
+def test_columns(spark):
+    cases = [
+        ("The end is", "near the sea.\n\nNew part.", "The end is near the sea.\n\nNew part."),
+        ("A bro-", "ken word.", "A broken word."),
+        ("Done.", "next one", "Done.\n\nnext one"),
+        ("as shown in the", "Figure 1. A map\n\nMap of it.", "as shown in the Map of it.\n\nFigure 1. A map"),
+        ("the memory", "(HBM3) is fast", "the memory (HBM3) is fast"),
+        ("", "only", "only"), ("only ", " ", "only"), ("", "", ""),
+        ("First.\n\nit goes", "on and on", "First.\n\nit goes on and on"),
+        ("it ends", "Figure 1. A map", "it ends\n\nFigure 1. A map"),
+    ]
+    df = spark.createDataFrame(cases, "l string, r string, want string")
+    assert [(r.l, r.got) for r in df.select("l", "want", C.join_columns(F.col("l"), F.col("r")).alias("got")).collect() if r.got != r.want] == []
+    cases = [
+        ("Words that\n\nTable 2. Sizes", "[FIGURE_000]\n\ngo on.", "Words that go on.\n\nTable 2. Sizes\n\n[FIGURE_000]"),
+        ("Words that", "go on.", "Words that go on."), ("Table 1. x", "Figure 2. y", "Table 1. x\n\nFigure 2. y"), ("", "cut…", "cut…"),
+        ("One.", "[TABLE_001]\n\nTwo.", "One.\n\n[TABLE_001]\n\nTwo."),
+    ]
+    df = spark.createDataFrame(cases, "l string, r string, want string")
+    assert [(r.l, r.got) for r in df.select("l", "want", C.join_columns_captions(F.col("l"), F.col("r")).alias("got")).collect() if r.got != r.want] == []
+
+
+def composed(spark, boxes, gap, start, **more):
+    """A page of boxes through the composition of pages."""
+    rows = [(1, 0, k, b.text, b.x0, b.x1, b.top, b.bottom) for k, b in enumerate(boxes)]
+    words = spark.createDataFrame(rows, "doc_id long, page_num int, word_no int, text string, x0 double, x1 double, top double, bottom double")
+    gaps = spark.createDataFrame([(1, 0, gap)] if gap else [], "doc_id long, page_num int, gap_x double")
+    starts = spark.createDataFrame([(1, 0, start)] if start else [], "doc_id long, page_num int, body_y double")
+    return compose_pages(words, gaps, starts, height=800.0, **more).first().text
 
 
-def test_two_columns_read_left_first():
+def test_two_columns_read_left_first(spark):
     boxes = line("Wide title over the whole page here", 40, 150.0)
     for k in range(4):
         boxes += line(f"left{k} left word", 100 + 14 * k) + line(f"right{k} right word", 100 + 14 * k, 350.0)
-    text = compose_multicol(boxes, 310.0, 99.0, 800.0)
+    text = composed(spark, boxes, 310.0, 99.0)
     assert text.index("Wide") < text.index("left3") < text.index("right0")
-    assert compose_multicol(boxes, 310.0, None).index("left3") < compose_multicol(boxes, 310.0, None).index("right0")
+    for text in (composed(spark, boxes, 310.0, None), composed(spark, boxes, 310.0, 99.0, captions=True)):
+        assert text.index("left3") < text.index("right0")
+    assert composed(spark, line("One column", 40), None, None) == "One column"
+
+
+def test_footnotes_of_the_left_column_come_last(spark):
+    boxes = line("left text goes", 410) + line("right text goes", 410, 350.0) + line("on here", 424, 350.0) + line("1 a note", 600)
+    assert composed(spark, boxes, 310.0, 400.0) == "left text goes\n\nright text goes\non here\n\n1 a note" or composed(spark, boxes, 310.0, 400.0).endswith("on here\n\n1 a note")
+    assert composed(spark, boxes, 310.0, 400.0, captions=True).index("1 a note") < composed(spark, boxes, 310.0, 400.0, captions=True).index("right")
 
 
 def test_assets_in_pages():
@@ -102,12 +133,15 @@ def test_image_kernels():
 def test_viewer_tools(spark):
     from quirefold.operators import viewer as V
 
-    assert V.strip_captions("A sentence is\nFigure 1. A map\ngoing on.") == "A sentence is going on."
-    assert V.strip_captions("Done.\nTable 2: x\nNext") == "Done.\nNext"
-    assert V.paragraphs_reflow("a bro-\nken\nline\n\n\nnext") == "a broken line\n\nnext"
-    assert V.wrap("aa bb cc dddddddd", 5) == ["aa bb", "cc", "ddddd", "ddd"] and V.wrap("") == []
-    assert V.align_rows(["a b", "", "c d"], list("wxyz!")) == ["w x", "", "y z !"]
-    table = V.markdown_table([["a|b", "c"], ["d"]], ["x", "y"])
+    def one(c):
+        return spark.range(1).select(c).first()[0]
+
+    assert one(C.strip_captions(F.lit("A sentence is\nFigure 1. A map\ngoing on."))) == "A sentence is going on."
+    assert one(C.strip_captions(F.lit("Done.\nTable 2: x\nNext"))) == "Done.\nNext"
+    assert one(C.paragraphs_reflow(F.lit("a bro-\nken\nline\n\n\nnext"))) == "a broken line\n\nnext"
+    assert one(C.wrap(F.lit("aa bb cc dddddddd"), 5)) == "aa bb\ncc\nddddd\nddd" and one(C.wrap(F.lit(""))) == ""
+    assert one(C.align_rows(F.array(*map(F.lit, ["a b", "", "c d"])), F.array(*map(F.lit, "wxyz!")))) == ["w x", "", "y z !"]
+    table = one(C.markdown_table([F.array(F.lit("a|b"), F.lit("c")), F.array(F.lit("d"))], ["x", "y"]))
     assert V.parse_markdown(table) == [["x", "y"], ["a|b", "d"], ["c", ""]]
     df = spark.createDataFrame([(1, "A", b"x"), (2, "?", b"y"), (3, "A", b"bad")], "doc_id long, strategy string, content binary")
 
