@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold.operators import metrics, state, timestamps
+from quirefold.plans.sqltimes import instants
 from quirefold.session import table
 
 QUERIES: dict = {}
@@ -358,17 +359,30 @@ def _times(s, d) -> DataFrame:
     return metrics.elapsed(at)
 
 
-@query("elapsed")
+_ELAPSED = f"""WITH {instants("SELECT document_id, step, logged_at AS text, worker FROM process_logs WHERE result = 'SUCCESS' AND step IN ('ANALYZE', 'INDEXING') AND document_id IS NOT NULL")},
+ends AS (SELECT document_id, max(utc_us) FILTER (WHERE step = 'ANALYZE') AS a, max(utc_us) FILTER (WHERE step = 'INDEXING') AS b FROM moments GROUP BY document_id),
+times AS (SELECT document_id, greatest(0, b - a) AS elapsed_us FROM ends WHERE a IS NOT NULL AND b IS NOT NULL),
+stats AS (SELECT count(*) AS n, coalesce(CAST(sum(elapsed_us) AS BIGINT), 0) AS sum_us, coalesce(max(elapsed_us), 0) AS max_us, count(*) FILTER (WHERE elapsed_us <= 180000000) AS n_180, count(*) FILTER (WHERE elapsed_us <= 300000000) AS n_300 FROM times WHERE elapsed_us > 0)"""
+
+
+@query("elapsed", f"{_ELAPSED} SELECT document_id, elapsed_us FROM times")
 def elapsed(s, d):
     return _times(s, d)
 
 
-@query("elapsed_stats")
+@query("elapsed_stats", f"{_ELAPSED} SELECT * FROM stats")
 def elapsed_stats(s, d):
     return metrics.elapsed_stats(_times(s, d))
 
 
-@query("criteria")
+_CRITERIA = {
+    "text rate >= 90 %": "text_success * 10 >= total * 9", "upload rate >= 95 %": "uploaded * 100 >= upload_of * 95", "indexed >= 85 %": "indexed * 100 >= total * 85", "failed <= 5 %": "failed * 100 <= total * 5",
+    "mean time <= 300 s": "t.sum_us <= t.n * 300000000", "mean quality >= 0.95": "q.sum_e4 >= q.n * 9500", "least multi-column quality >= 0.95": "m.min_e4 >= 9500",
+    "mean multi-column quality >= 0.95": "m.sum_e4 >= m.n * 9500", "all within 300 s": "t.n_300 = t.n",
+}
+
+
+@query("criteria", f"{_ELAPSED} SELECT unnest([{', '.join(repr(k) for k in _CRITERIA)}]) AS criterion, unnest([{', '.join(_CRITERIA.values())}]) AS passed FROM ({_RATES_SQL}) r, ({_QUALITY_SQL}) q, ({_QUALITY_SQL} WHERE ocr_strategy = 'DIGITAL_EXTRACT_MULTI') m, stats t")
 def criteria(s, d):
     return metrics.criteria(success_rates(s, d), quality_stats(s, d), multi_quality(s, d), elapsed_stats(s, d))
 

@@ -12,6 +12,7 @@ from quirefold.operators import images, timestamps
 from quirefold.plans import boxes
 from quirefold.plans.catalog import docs, logs, pages
 from quirefold.plans.sqltext import HEIGHT, WIDTH, q
+from quirefold.plans.sqltimes import instants
 from quirefold.session import table
 from quirefold.sources import office
 from quirefold.streaming.logs import windowed_counts
@@ -91,7 +92,7 @@ def formula_scanned(s, d):
     return images.map_images(_page_images(s, d), images.horizontal_rules, "rules")
 
 
-@query("log_windows")
+@query("log_windows", f"WITH {instants('SELECT DISTINCT id, step, result, logged_at AS text, worker FROM process_logs')} SELECT time_bucket(INTERVAL 1 hour, make_timestamp(utc_us)) AS start, time_bucket(INTERVAL 1 hour, make_timestamp(utc_us)) + INTERVAL 1 hour AS \"end\", step, result, count(DISTINCT id) AS n FROM moments WHERE utc_us IS NOT NULL GROUP BY ALL")
 def log_windows(s, d):
     """Log events per hour, step and result; the same function runs on a stream."""
     at = timestamps.with_instants(logs(s, d).select("id", "step", "result", "logged_at", "worker"), {"logged_at": "us"}, table(s, d, "workers"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold.operators import orphans, packed, timestamps
+from quirefold.plans.sqltimes import instants
 from quirefold.session import table
 
 
@@ -44,4 +45,17 @@ def p6_delimiters(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_orphan_counts": p2_orphan_counts, "p4_found": p4_found, "p6_found": p6_found, "p6_delimiters": p6_delimiters}
-SQL: dict[str, str] = {}
+_FIELDS = """SELECT 'documents' AS table_name, doc_id AS row_id, 'created_at' AS field_name, created_at AS text, worker FROM documents
+UNION ALL SELECT 'documents', doc_id, 'updated_at', updated_at, worker FROM documents UNION ALL SELECT 'process_logs', id, 'logged_at', logged_at, worker FROM process_logs"""
+_ORPHANS = f"""WITH {instants(_FIELDS)},
+rows_of AS (SELECT 'page_contents' AS table_name, id AS row_id, document_id, epoch_us(created_at) AS row_us FROM page_contents UNION ALL SELECT 'document_assets', id, document_id, epoch_us(created_at) FROM document_assets
+  UNION ALL SELECT 'process_logs', l.id, l.document_id, a.utc_us FROM process_logs l LEFT JOIN (SELECT DISTINCT row_id, utc_us FROM moments WHERE table_name = 'process_logs') a ON a.row_id = l.id),
+parents AS (SELECT d.doc_id, a.utc_us FROM documents d LEFT JOIN moments a ON a.row_id = d.doc_id AND a.field_name = 'created_at'),
+orphans AS (SELECT DISTINCT table_name, row_id, row_us, CASE WHEN p.doc_id IS NULL THEN 'absent' ELSE 'late' END AS reason FROM rows_of r LEFT JOIN parents p ON p.doc_id = r.document_id
+  WHERE r.document_id IS NOT NULL AND (p.doc_id IS NULL OR p.utc_us > r.row_us + 86400000000))"""
+
+SQL: dict[str, str] = {
+    "p2_found": f"{_ORPHANS} SELECT table_name, row_id, reason FROM orphans",
+    "p2_orphan_counts": f"{_ORPHANS} SELECT table_name, strftime(make_timestamp(row_us), '%Y-%m') AS month, reason, count(*) AS n_rows FROM orphans GROUP BY ALL",
+    "p4_found": f"WITH {instants(_FIELDS)} SELECT DISTINCT table_name, row_id, field_name, utc_us FROM moments WHERE utc_us IS NOT NULL AND NOT regexp_matches(text, '{timestamps.CANONICAL}')",
+}
