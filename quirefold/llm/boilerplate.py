@@ -4,19 +4,19 @@ Each line is normalised (letter case, digits, spacing and punctuation removed, a
 that most misread copies meet in one hash) and hashed. Distinct documents per source and hash are counted with
 two partial aggregations, so that a hot source costs no more per task than another. Hashes shared by ``HEADS`` documents
 or more become heads; heads within a few edits of each other, also by way of a third one, are one line (connected
-components). A line with a head's hash that is the head's but for few edits belongs to it. Every other long line belongs
-to the best head of its source within the allowed edits: a head is cut into one piece more than edits are allowed, so
-that one piece stands whole in the line, and the lines that hold a piece of their source's heads are compared in full.
+components), which counts if its heads lie in ``TOGETHER`` documents. A line with a head's hash that is the head's but for few edits belongs to it. Every other long line belongs
+to the best head of its source within the allowed edits: a head is cut into two pieces more than edits are allowed, so
+that two pieces stand whole in the line, and the lines that hold two pieces of a head of their source are compared in full.
 Heads whose lines lie in at least ``min_documents`` documents and in at least ``min_share`` of the source's documents are
 boilerplate.
 
-No page text is moved: the readers pass on only lines whose hash or piece is in a bit filter of the heads' hashes and
-pieces. The filter has a fixed size; it never drops a line that matches, and what it passes too much the joins drop.
+No page text is moved: the readers pass on only lines whose hash or pair of pieces is in a bit filter of the heads' hashes
+and pairs. The filter has a fixed size; it never drops a line that matches, and what it passes too much the joins drop.
 
 Defined results: null and empty fields have no lines; lines without a letter, page numbers and asset references are
 never cases; pages without document or source are left out; a page stored twice counts its document once; repeated rows
-are reported once; lines shorter than ``LONG`` letters are matched by their exact letters only; a line needs two copies
-in its source that read alike (of at least ``min_documents`` copies) to be known as repeated.
+are reported once; lines shorter than ``LONG`` letters are matched by their exact letters only; a line must lie in ``TOGETHER`` documents
+of its source (of at least ``min_documents``) in readings that two of them share each, or that are near such ones.
 """
 
 from __future__ import annotations
@@ -37,10 +37,15 @@ FIELDS = ("header_text", "footer_text", "body_text")
 MIN_DOCUMENTS, MIN_SHARE = 6, 0.0
 #: Documents from which a hash can gather misread copies.
 HEADS = 2
+#: Documents that the heads of one line must have together, so that other lines are held against them: two thirds of
+#: MIN_DOCUMENTS. (Lines that two or three documents share by chance grow faster than the data; none of them is a case.)
+TOGETHER = 4
 #: Letters of a head from which lines are matched approximately, and from which its pieces are long ones.
 LONG, LONGER = 16, 33
 #: Letters of a short and of a long piece; with the allowed edits no piece of a head is shorter.
-SHORT_PIECE, LONG_PIECE = 5, 11
+SHORT_PIECE, LONG_PIECE = 4, 8
+#: Places and lengths that count as one when pieces are looked up.
+WIDTH = 8
 #: Pages whose ids may be sent to the readers to have the heads' letters read.
 TOLD = 1_000_000
 #: Letters that the hash must rest on.
@@ -108,22 +113,51 @@ def piece_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
             short *= _FACTOR
             short += c[k : n - SHORT_PIECE + 1 + k]
         m = max(n - LONG_PIECE + 1, 0)
-        long = short[:m] * _FACTOR * _FACTOR * _FACTOR * _FACTOR * _FACTOR * _FACTOR + short[SHORT_PIECE : SHORT_PIECE + m] * _FACTOR + c[LONG_PIECE - 1 : LONG_PIECE - 1 + m]
+        long = short[:m].copy()
+        for k in range(SHORT_PIECE, LONG_PIECE):
+            long *= _FACTOR
+            long += c[k : m + k]
         return _mixed(short, 1), _mixed(long, 2)
 
 
-def head_pieces(key: str) -> list[tuple[int, int]]:
-    """(hash, place) of the beginnings of a head's pieces, one more than edits are allowed; none for short heads."""
+def _placed(hashes: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Piece hashes with the stretch of ``WIDTH`` places and of ``WIDTH`` lengths they stand in."""
+    with np.errstate(over="ignore"):
+        return _mixed(hashes + (place // WIDTH).astype(np.uint64) * _MIX + (size // WIDTH).astype(np.uint64) * _FACTOR, 3).view(np.int64)
+
+
+def _paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One hash of two placed pieces, the first of which stands before the second."""
+    with np.errstate(over="ignore"):
+        return _mixed(first.view(np.uint64) * _FACTOR + second.view(np.uint64), 4).view(np.int64)
+
+
+def head_pieces(key: str) -> list[np.ndarray]:
+    """The beginnings of a head's pieces, two more than edits are allowed, each at the places and in the lengths to which
+    so many edits can move it; none for short heads."""
     n = len(key)
     if n < LONG:
         return []
-    hashes = piece_hashes(key)[n >= LONGER].view(np.int64)
-    parts = allowed_edits(n) + 1
-    return [(int(hashes[at]), at) for at in (n * k // parts for k in range(parts))]
-
-
-def _survivors(lines: DataFrame, hashes: np.ndarray | None, pieces: np.ndarray) -> DataFrame:
-    """``lines`` (..., hash, key) that can belong to a head, with ``found``: the (piece, at) of their letters that heads may have."""
+    hashes = piece_hashes(key)[n >= LONGER]
+    edits = allowed_edits(n)
+    sizes = range(max(0, n - edits) // WIDTH, (n + edits) // WIDTH + 1)
+    out = []
+    for at in (n * k // (edits + 2) for k in range(edits + 2)):
+        rows = [(place * WIDTH, size * WIDTH) for place in range(max(0, at - edits) // WIDTH, (at + edits) // WIDTH + 1) for size in sizes]
+        place, size = np.array(rows, np.int64).T
+        out.append(_placed(np.repeat(hashes[at], len(rows)), place, size))
+    return out
+
+
+def head_pairs(key: str) -> list[int]:
+    """What a line near a head is looked up by: the pairs of the head's pieces."""
+    pieces = head_pieces(key)
+    pairs = [_paired(np.repeat(a, len(b)), np.tile(b, len(a))) for k, b in enumerate(pieces) for a in pieces[:k]]
+    return sorted(set(np.concatenate(pairs).tolist())) if pairs else []
+
+
+def _survivors(lines: DataFrame, hashes: np.ndarray | None, pieces: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """``lines`` (..., hash, key) that can belong to a head, with ``pairs``: those pairs of their pieces that heads may have."""
     names = lines.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,21 +174,30 @@ def _survivors(lines: DataFrame, hashes: np.ndarray | None, pieces: np.ndarray)
                 if most is not None:
                     fits &= n <= most
                 places = np.flatnonzero(fits)
-                places = places[in_filter(pieces, h[places])]
-                hits.append((owner[places], h[places].view(np.int64), at[places]))
-            of, piece, where = (np.concatenate(x) for x in zip(*hits))
+                placed = _placed(h[places], at[places], n[places])
+                known = in_filter(pieces, placed)
+                hits.append((owner[places[known]], placed[known]))
+            found = []
+            for of, placed in hits:
+                for step in range(1, int(np.bincount(of).max(initial=0))):
+                    first = np.flatnonzero(of[step:] == of[:-step])
+                    if not len(first):
+                        break
+                    pair = _paired(placed[first], placed[first + step])
+                    known = in_filter(pairs, pair)
+                    found.append((of[first[known]], pair[known]))
+            of, pair = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
             order = np.argsort(of, kind="stable")
             count = np.bincount(of, minlength=len(keys))
             kept = count > 0
             if hashes is not None:
                 kept |= in_filter(hashes, b.column(names.index("hash")).to_numpy())
             offsets = np.concatenate(([0], np.cumsum(count[kept])))
-            found = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(piece[order]), pa.array(where[order], pa.int32())], names=["piece", "at"]))
             out = b.filter(pa.array(kept))
-            yield pa.RecordBatch.from_arrays([*out.columns, found], names=[*names, "found"])
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(pair[order]))], names=[*names, "pairs"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema)
-    return lines.mapInArrow(run, f"{schema}, found array<struct<piece:bigint,at:int>>")
+    return lines.mapInArrow(run, f"{schema}, pairs array<bigint>")
 
 
 def _close(a: Column, b: Column, share: float = 0.06, far: int = FAR) -> Column:
@@ -172,62 +215,76 @@ def shared_lines(pages: DataFrame, documents: DataFrame, least: int = HEADS) ->
     return seen.join(owners(documents), "document_id").groupBy("source", "hash").agg(F.count("*").alias("n"), F.min("page_id").alias("page_id")).filter(F.col("n") >= least)
 
 
-def line_heads(pages: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
-    """(source, head, n, head_key): the hashes that several documents of a source share, with their letters, read from one page each."""
-    shared = cut(shared_lines(pages, documents, least))
+def head_keys(pages: DataFrame, shared: DataFrame) -> DataFrame:
+    """(source, head, n, head_key): the hashes of ``shared`` with their letters, read from one page each."""
     told = pages.join(bounded_broadcast(shared.select(F.col("page_id").alias("id")).distinct(), TOLD), "id", "left_semi")
     keys = page_lines(told).select("page_id", line_hash(F.col("line")).alias("hash"), letters(F.col("line")).alias("key")).groupBy("page_id", "hash").agg(F.min("key").alias("head_key"))
     return shared.join(keys, ["page_id", "hash"]).select("source", F.col("hash").alias("head"), "n", "head_key")
 
 
-def _with_pieces(heads: DataFrame) -> DataFrame:
-    """``heads`` (source, head, n, head_key, ...) with a row for each piece (piece, place)."""
-    cutter = F.udf(head_pieces, "array<struct<piece:bigint,place:int>>", useArrow=True)  # once per head
-    return heads.select("*", F.inline(cutter("head_key")))
+def _with_pairs(heads: DataFrame) -> DataFrame:
+    """``heads`` (source, head, n, head_key, ...) with a row for each pair of pieces."""
+    cutter = F.udf(head_pairs, "array<bigint>", useArrow=True)  # once per head
+    return heads.select("*", F.explode(cutter("head_key")).alias("pair"))
+
 
+def _piece_filter(heads: DataFrame) -> np.ndarray:
+    cutter = F.udf(lambda key: [x for piece in head_pieces(key) for x in piece.tolist()], "array<bigint>", useArrow=True)
+    return bit_filter(heads.select(F.explode(cutter("head_key")).alias("piece")), "piece")
 
-def _near(line: Column, head: Column, at: Column, place: Column) -> Column:
-    """Whether a line that holds a piece of a head can be, and is, the head's but for the allowed edits; a piece moves by no more than these."""
-    return (F.abs(at - place) <= FAR) & _close(line, head)
+
+def near_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """The rows of ``lines`` (source, key, ...) that are within the allowed edits of one of the ``heads`` (source, head_key) of their source."""
+    heads = cut(heads.select("source", "head_key").distinct())
+    pairs = cut(_with_pairs(heads))
+    looked = _survivors(lines, None, _piece_filter(heads), bit_filter(pairs, "pair"))
+    hits = looked.select("*", F.explode("pairs").alias("pair")).drop("pairs").join(pairs, ["source", "pair"]).filter(_close(F.col("key"), F.col("head_key")))
+    return hits.select(*lines.columns).distinct()
 
 
 def _roots(heads: DataFrame) -> DataFrame:
     """``heads`` with ``root``: heads within a few edits of each other, or joined by such steps, have the same."""
-    pieces = cut(_with_pieces(heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))).select("source", "vertex", "head_key", "piece", "place"))
+    pairs = cut(_with_pairs(heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))).select("source", "vertex", "head_key", "pair"))
     lines = heads.select("source", F.concat_ws("\t", "source", F.col("head").cast("string")).alias("vertex"), F.col("head_key").alias("key"))
-    looked = _survivors(lines, None, bit_filter(pieces, "piece")).select("source", F.col("vertex").alias("a"), "key", F.inline("found"))
-    edges = looked.join(pieces, ["source", "piece"]).filter((F.col("a") != F.col("vertex")) & _near(F.col("key"), F.col("head_key"), F.col("at"), F.col("place"))).select("a", F.col("vertex").alias("b"))
+    looked = _survivors(lines, None, _piece_filter(heads), bit_filter(pairs, "pair")).select("source", F.col("vertex").alias("a"), "key", F.explode("pairs").alias("pair"))
+    edges = looked.join(pairs, ["source", "pair"]).filter(F.col("a") != F.col("vertex")).dropDuplicates(["a", "vertex"]).filter(_close(F.col("key"), F.col("head_key"))).select("a", F.col("vertex").alias("b"))
     roots = connected_components(edges).select(F.col("node").alias("vertex"), F.col("component").alias("root"))
     named = heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))
-    return named.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).drop("vertex")
+    rooted = named.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).drop("vertex")
+    enough = rooted.groupBy("root").agg(F.sum("n").alias("together")).filter(F.col("together") >= TOGETHER).select("root")
+    return rooted.join(enough, "root", "left_semi")
 
 
 def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(page_id, document_id, source, field_name, line_no, root) of every line that is, exactly or nearly, that of a head of its source."""
-    heads = cut(_roots(cut(line_heads(pages, documents))))
+    heads = cut(_roots(cut(head_keys(pages, cut(shared_lines(pages, documents))))))
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
-    pieces = cut(_with_pieces(heads).select("source", "piece", "place", "head_key", "n", "root"))
+    pairs = cut(_with_pairs(heads).select("source", "pair", "head_key", "n", "root"))
     # hash and letters are made once per line: a generator keeps them from being copied into every use
     made = F.struct(line_hash(F.col("line")).alias("hash"), F.when(F.length("line") <= longest * 2 + 40, letters(F.col("line"))).alias("key"))
     lines = page_lines(pages).withColumn("made", F.explode(F.array(made))).select("page_id", "document_id", "field_name", "line_no", "made.hash", "made.key")
-    kept = _survivors(lines, bit_filter(heads, "head"), bit_filter(pieces, "piece")).join(owners(documents), "document_id")
+    kept = _survivors(lines, bit_filter(heads, "head"), _piece_filter(heads), bit_filter(pairs, "pair")).join(owners(documents), "document_id")
     # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for pieces
     exact = heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key"))
     marked = kept.join(exact, ["source", "hash"], "left")
     keyed = marked.withColumn("own_root", F.when(F.col("own_root").isNotNull() & _close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root"))).drop("own_key")
-    looked = keyed.select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", F.explode_outer(F.when(F.col("own_root").isNull(), F.col("found"))).alias("e")).select("*", "e.piece", "e.at").drop("e")
-    hits = looked.join(pieces, ["source", "piece"], "left").filter(F.col("own_root").isNotNull() | _near(F.col("key"), F.col("head_key"), F.col("at"), F.col("place")))
+    looked = keyed.select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", F.explode_outer(F.when(F.col("own_root").isNull(), F.array_distinct("pairs"))).alias("pair"))
+    hits = looked.join(pairs, ["source", "pair"], "left").filter(F.col("own_root").isNotNull() | _close(F.col("key"), F.col("head_key")))
     best = F.coalesce(F.max("own_root"), F.max_by("root", F.struct("n", "root")))
     return hits.groupBy("page_id", "field_name", "line_no").agg(F.first("document_id").alias("document_id"), F.first("source").alias("source"), best.alias("root"))
 
 
+def same_lines(pages: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
+    """(page_id, field_name, line_no) of every line whose hash is one of its source in ``shared``."""
+    lines = page_lines(pages).select("page_id", "document_id", "field_name", "line_no", line_hash(F.col("line")).alias("hash"))
+    owned = lines.join(bounded_broadcast(shared.select("hash").distinct()), "hash").join(owners(documents), "document_id")
+    return owned.join(bounded_broadcast(shared.select("source", "hash")), ["source", "hash"]).select("page_id", "field_name", "line_no").distinct()
+
+
 def found(pages: DataFrame, documents: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE, approximate: bool = True) -> DataFrame:
     """(page_id, field_name, line_no) of every boilerplate line; without ``approximate`` of those with equal hashes only."""
     if not approximate:
-        lines = page_lines(pages).select("page_id", "document_id", "field_name", "line_no", line_hash(F.col("line")).alias("hash"))
-        shared = cut(shared_lines(pages, documents, min_documents).select("source", "hash"))
-        near = lines.join(bounded_broadcast(shared.select("hash").distinct()), "hash").join(owners(documents), "document_id")
-        return near.join(bounded_broadcast(shared), ["source", "hash"]).select("page_id", "field_name", "line_no").distinct()
+        return same_lines(pages, documents, cut(shared_lines(pages, documents, min_documents)))
     matched = cut(matched_lines(pages, documents))
     total = matched.select("source", "root", "document_id").distinct().groupBy("source", "root").agg(F.count("*").alias("n"))
     if min_share > 0:

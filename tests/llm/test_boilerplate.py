@@ -92,3 +92,9 @@ def test_filter_holds_all_and_little_else(spark):
     bits = filters.bit_filter(spark.createDataFrame([(int(x),) for x in [*held, 0, -1]], "v long"), "v")
     assert filters.in_filter(bits, np.array([*held, 0, -1])).all()
     assert filters.in_filter(bits, rng.integers(-(2**63), 2**63 - 1, 100_000, dtype=np.int64)).mean() < 0.001
+
+
+def test_scattered_readings_that_two_documents_share_each(spark, tmp_path):
+    docs, pages = _pages(["printat tablekpwq"] * 2 + ["prinkat tajlekpwq"] * 2 + ["printaj tablekpzq"] * 2)
+    got = plain(QUERIES["p7_found"](spark, write_tables(spark, tmp_path, documents=docs, page_contents=pages)).collect())
+    assert got == [(k, "body_text", 1) for k in range(6)]
