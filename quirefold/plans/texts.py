@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,16 +75,6 @@ def collapse_blank(s, d):
     return texts(s, d).select("doc_id", T.collapse_blank(T.newline_norm(F.col("text"))).alias("text"))
 
 
-@query("clean_text")
-def clean_text(s, d):
-    return texts(s, d).select("doc_id", R.clean_text(F.col("text")).alias("text"))
-
-
-@query("reflow")
-def reflow(s, d):
-    return pages(s, d).filter("body_text IS NOT NULL").select("id", R.reflow(F.col("body_text")).alias("text"))
-
-
 @query("formula_text", f"SELECT doc_id, length(text) > 0 AND {count('text', T.MATH)} >= length(text) * 0.008::DOUBLE AS has_formula FROM documents WHERE text IS NOT NULL")
 def formula_text(s, d):
     return texts(s, d).select("doc_id", T.formula_text(F.col("text")).alias("has_formula"))
@@ -179,6 +171,39 @@ _MERGE = (
 )
 
 
+def _between(sql: str, line: str, following: str) -> str:
+    """A condition on a line and the next one, for other names of the two."""
+    return re.sub(r"\bfollowing\b", following, re.sub(r"\bline\b", line, sql))
+
+
+def _reflow_sql(rows: str, key: str) -> str:
+    """``key`` and the re-flowed text of ``rows`` (key, text): the lines folded one by one."""
+    state = lambda done, now, gaps: f"{{'done': {done}, 'now': {now}, 'gaps': {gaps}, 'line': '', 'gap': false}}"
+    skip = f"(b.line = '' OR {match('b.line', T.NOISE_LINE)})"
+    apart = f"({_between(_KEEP, 'a.now', 'b.line')} OR NOT {_between(_MERGE, 'a.now', 'b.line')})"
+    glued = "CASE WHEN ends_with(a.now, '-') THEN left(a.now, length(a.now) - 1) || b.line ELSE a.now || ' ' || b.line END"
+    mark = "CASE WHEN a.gaps >= 2 THEN chr(10) || chr(10) || chr(10) ELSE chr(10) || chr(10) END"
+    step = (
+        f"CASE WHEN b.gap THEN {state('a.done', 'a.now', 'a.gaps + 1')} WHEN a.gaps > 0 THEN {state('a.done || a.now || ' + mark, f'CASE WHEN {skip} THEN chr(0)[2:] ELSE b.line END', '0')} "
+        f"WHEN {skip} THEN a WHEN a.now = '' THEN {state('a.done', 'b.line', '0')} WHEN {apart} THEN {state('a.done || a.now || chr(10)', 'b.line', '0')} ELSE {state('a.done', glued, '0')} END"
+    ).replace("chr(0)[2:]", "''")
+    items = f"list_transform(string_split(t, chr(10)), lambda r: {{'done': '', 'now': '', 'gaps': 0, 'line': {strip(sub('r', ' {2,}', q(' ')))}, 'gap': r = ''}})"
+    return f"SELECT {key}, CASE WHEN t = '' THEN '' ELSE r.done || r.now END AS text FROM (SELECT {key}, t, list_reduce(list_prepend({state(q(''), q(''), '0')}, {items}), lambda a, b: {step}) AS r FROM (SELECT {key}, {strip(newline_norm('text'))} AS t FROM ({rows})))"
+
+
+_CLEANED = sub(_SPACES.replace("text", newline_norm(sub("text", T.CONTROL, q("")))), rf"({T.LETTER})-\n({T.LETTER})", q(r"\1\2"))
+
+
+@query("clean_text", f"SELECT doc_id, {strip(sub('text', chr(92) + 'n{4,}', 'chr(10) || chr(10) || chr(10)'))} AS text FROM ({_reflow_sql(f'SELECT doc_id, {_CLEANED} AS text FROM documents WHERE text IS NOT NULL', 'doc_id')})")
+def clean_text(s, d):
+    return texts(s, d).select("doc_id", R.clean_text(F.col("text")).alias("text"))
+
+
+@query("reflow", _reflow_sql("SELECT id, body_text AS text FROM page_contents WHERE body_text IS NOT NULL", "id"))
+def reflow(s, d):
+    return pages(s, d).filter("body_text IS NOT NULL").select("id", R.reflow(F.col("body_text")).alias("text"))
+
+
 def _predicate(name: str, sql: str, test) -> None:
     @query(name, f"WITH {LINES} SELECT id, line_no FROM page_lines WHERE {sql}")
     def run(s, d):
