@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from quirefold.llm import boilerplate, mojibake
 from quirefold.llm.sampling import labelled_sample
+from quirefold.session import cut
 
 #: Two-letter label of documents -> three-letter code.
 CODES = {"ko": "kor", "en": "eng", "ja": "jpn", "de": "deu", "fr": "fra", "es": "spa"}
 #: Bound of the training sample and size of a profile.
 SAMPLE_DOCS, SAMPLE_CHARS, PROFILE = 250, 4000, 300
-#: Letters that make a segment of a text; characters that make one of a single line of a page. CJK letters count double.
+#: Letters that make a segment; characters that make one of a single line of a page that ends no sentence. CJK letters count double.
 LETTERS, LINE_LETTERS = 30, 110
 #: A segment of less confidence than this (half of it for longer ones) tells only where a document has no other.
 SURE, SURE_LETTERS = 0.1, 80
@@ -44,10 +45,9 @@ MEMO = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 _CJK = re.compile(r"[぀-ヿ一-鿿가-힯]")
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")
-_LEFT_OUT = re.compile(r"[\W\d_bcdeéghilmnorsuvw을올를름]+")
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: What ends a sentence; and Latin-1 and typographic characters, of which written texts have few.
 _ENDS = tuple(".!?。！？…”\"»」』)")
+_SENTENCE = re.compile(r"[.!?…。！？][\"'”»」』)]*$")
 _GARBLED = re.compile("[\u0080-\u00ff\u0152-\u0192\u02c6\u02dc\u2013-\u203a\u20ac\u2122]")
 _QUOTE = re.compile(r"“[^”]{12,}”|„[^“”]{12,}[“”]|«[^»]{12,}»|「[^」]{6,}」|『[^』]{6,}』|\"[^\"\n]{24,}\"")
 #: Headings, captions, numbers, asset references, contents lines. Fixed values.
@@ -124,7 +124,6 @@ class Profiles:
         owner, gram = owner[order], gram[order]
         starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         own_rank = np.arange(len(owner)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(owner)]))))
-        # a rank in a short segment stands for a proportionally longer stretch of the profile
         distance = np.stack([np.add.reduceat(np.minimum(np.abs(r[gram] - own_rank), PROFILE), starts) for r in self.ranks])
         best = distance.argmin(axis=0)
         two = np.sort(distance, axis=0)[:2] if len(self.languages) > 1 else np.stack((distance[0], distance[0] * 2 + 1))
@@ -166,25 +165,19 @@ def legible(segment: str) -> bool:
     return segment.count("\ufffd") * 20 <= len(segment) and len(_GARBLED.findall(segment)) * 4 <= len(segment)
 
 
-def skeleton(line: str) -> str:
-    """What no misreading changes in a line; the same as the boilerplate operator hashes."""
-    bare = _LEFT_OUT.sub("", line.lower()).replace("f", "t")
-    return bare if len(bare) >= boilerplate.SKELETON else _NOT_LETTERS.sub("", line.lower())
+def page_paragraphs(body: str, repeated: set[int]) -> list[tuple[str, str | None]]:
+    """The segments of a page's body: paragraphs of two lines or more, of one long line, or of one line that ends a sentence.
 
-
-def page_paragraphs(body: str, repeated: set[int], wordings: frozenset[str] | set[str] = frozenset()) -> list[str]:
-    """The segments of a page's body: paragraphs of two lines or of one long one.
-
-    Line numbers in ``repeated`` and lines whose skeleton is one of ``wordings`` are left out.
+    Lines whose numbers are in ``repeated`` are left out. With each segment that is one shorter line goes that line.
     """
-    out: list[str] = []
+    out: list[tuple[str, str | None]] = []
     block: list[str] = []
 
     def close() -> None:
-        kept = [x for x in block if skeleton(x) not in wordings] if wordings else block
-        joined = " ".join(kept)
-        if len(kept) > 1 and _enough(joined) or len(joined) >= LINE_LETTERS // 2 and len(joined) + len(_CJK.findall(joined)) >= LINE_LETTERS:
-            out.append(_unquoted(joined))
+        joined = " ".join(block)
+        long = len(joined) >= LINE_LETTERS // 2 and len(joined) + len(_CJK.findall(joined)) >= LINE_LETTERS
+        if long or (len(block) > 1 or _SENTENCE.search(joined)) and _enough(joined):
+            out.append((_unquoted(joined), joined if len(block) == 1 and not long else None))
         block.clear()
 
     for k, line in enumerate(body.split("\n")):
@@ -207,12 +200,12 @@ def train(documents: DataFrame) -> Profiles:
 
 def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, dictionaries: dict[str, bytes]) -> DataFrame:
     """(doc_id, field_name, page_id, segment_no, lang, confidence, letters) of every segment; letters are its characters."""
-    schema = "doc_id long, field_name string, page_id long, segment_no int, lang string, confidence double, letters int"
-    kinds = pa.schema([("doc_id", pa.int64()), ("field_name", pa.string()), ("page_id", pa.int64()), ("segment_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("letters", pa.int32())])
+    schema = "doc_id long, field_name string, page_id long, segment_no int, lang string, confidence double, letters int, line string"
+    kinds = pa.schema([("doc_id", pa.int64()), ("field_name", pa.string()), ("page_id", pa.int64()), ("segment_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("letters", pa.int32()), ("line", pa.string())])
 
-    def emit(found: list[tuple[int, str, int | None, list[str]]]) -> pa.RecordBatch:
-        flat = [(d, f, p, k, s) for d, f, p, parts in found for k, s in enumerate(parts)]
-        rows = [(d, f, p, k, lang, conf, len(s)) for (d, f, p, k, s), (lang, conf) in zip(flat, profiles.classify([x[4] for x in flat])) if lang is not None]
+    def emit(found: list[tuple[int, str, int | None, list[tuple[str, str | None]]]]) -> pa.RecordBatch:
+        flat = [(d, f, p, k, s, line) for d, f, p, parts in found for k, (s, line) in enumerate(parts)]
+        rows = [(d, f, p, k, lang, conf, len(s), line) for (d, f, p, k, s, line), (lang, conf) in zip(flat, profiles.classify([x[4] for x in flat])) if lang is not None]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.types)] if rows else [pa.array([], t) for t in kinds.types], schema=kinds)
 
     def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,11 +213,12 @@ def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, diction
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 b = batch.slice(at, CHUNK)
-                yield emit([(d, "text", None, [s for s in paragraphs(repairer.text(t)[0]) if legible(s)]) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())])
+                yield emit([(d, "text", None, [(s, None) for s in paragraphs(repairer.text(t)[0]) if legible(s)]) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())])
 
     body_pages = pages.filter(F.col("document_id").isNotNull() & (F.col("body_text") != "")).select(F.col("document_id").alias("doc_id"), F.col("id").alias("page_id"), "body_text")
-    # one rule for any number of wordings: the lines that the page's own source repeats, by number
-    repeated = boilerplate.found(pages, documents, approximate=False).filter("field_name = 'body_text'").groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))  # lines of one page
+    # the lines that the page's own source repeats, by number
+    shared = cut(boilerplate.shared_lines(pages, documents, boilerplate.MIN_DOCUMENTS))
+    repeated = boilerplate.same_lines(pages, documents, shared).filter("field_name = 'body_text'").groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))  # lines of one page
     marked = body_pages.join(repeated, "page_id", "left")
 
     def bodies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +227,12 @@ def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, diction
                 rows = zip(*(batch.slice(at, CHUNK).column(i).to_pylist() for i in range(4)))
                 yield emit([(d, "body_text", p, page_paragraphs(t, set(gone or ()))) for d, p, t, gone in rows])
 
-    from_pages = marked.select("doc_id", "page_id", "body_text", "gone").mapInArrow(bodies, schema)
+    from_pages = cut(marked.select("doc_id", "page_id", "body_text", "gone").mapInArrow(bodies, schema))
+    # a segment of one line is none if the line is, but for misread letters, one that the source repeats
+    lines = from_pages.filter("line IS NOT NULL").select("page_id", "segment_no", F.col("doc_id").alias("document_id"), boilerplate.letters(F.col("line")).alias("key")).join(boilerplate.owners(documents), "document_id")
+    near = boilerplate.near_lines(lines, boilerplate.head_keys(pages, shared)).select("page_id", "segment_no").distinct()
     from_texts = documents.filter(F.col("text").isNotNull() & (F.col("text") != "")).select("doc_id", "text").mapInArrow(texts, schema)
-    return from_texts.unionByName(from_pages)
+    return from_texts.unionByName(from_pages.join(near, ["page_id", "segment_no"], "left_anti")).drop("line")
 
 
 def document_languages(documents: DataFrame, found: DataFrame) -> DataFrame:
