@@ -206,12 +206,17 @@ def _close(a: Column, b: Column, share: float = 0.06, far: int = FAR) -> Column:
     return (F.abs(F.length(a) - F.length(b)) <= allowed) & F.levenshtein(a, b, far).between(0, allowed)
 
 
-def shared_lines(pages: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
-    """(source, hash, n, page_id): the line hashes that ``least`` or more documents of a source have, and a page that has it.
+def hashed_lines(pages: DataFrame) -> DataFrame:
+    """(page_id, document_id, field_name, line_no, hash) of the lines that can be boilerplate."""
+    return page_lines(pages).select("page_id", "document_id", "field_name", "line_no", line_hash(F.col("line")).alias("hash"))
+
+
+def shared_lines(lines: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
+    """(source, hash, n, page_id): the hashes of ``lines`` that ``least`` or more documents of a source have, and a page that has it.
 
     The texts stay where they are: only distinct (document, hash) rows meet the documents' sources.
     """
-    seen = page_lines(pages).select("document_id", "page_id", line_hash(F.col("line")).alias("hash")).groupBy("document_id", "hash").agg(F.min("page_id").alias("page_id"))
+    seen = lines.groupBy("document_id", "hash").agg(F.min("page_id").alias("page_id"))
     return seen.join(owners(documents), "document_id").groupBy("source", "hash").agg(F.count("*").alias("n"), F.min("page_id").alias("page_id")).filter(F.col("n") >= least)
 
 
@@ -257,7 +262,7 @@ def _roots(heads: DataFrame) -> DataFrame:
 
 def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(page_id, document_id, source, field_name, line_no, root) of every line that is, exactly or nearly, that of a head of its source."""
-    heads = cut(_roots(cut(head_keys(pages, cut(shared_lines(pages, documents))))))
+    heads = cut(_roots(cut(head_keys(pages, cut(shared_lines(hashed_lines(pages), documents))))))
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
     pairs = cut(_with_pairs(heads).select("source", "pair", "head_key", "n", "root"))
     # hash and letters are made once per line: a generator keeps them from being copied into every use
@@ -274,9 +279,8 @@ def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     return hits.groupBy("page_id", "field_name", "line_no").agg(F.first("document_id").alias("document_id"), F.first("source").alias("source"), best.alias("root"))
 
 
-def same_lines(pages: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
-    """(page_id, field_name, line_no) of every line whose hash is one of its source in ``shared``."""
-    lines = page_lines(pages).select("page_id", "document_id", "field_name", "line_no", line_hash(F.col("line")).alias("hash"))
+def same_lines(lines: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:
+    """(page_id, field_name, line_no) of the hashed ``lines`` whose hash is one of their source in ``shared``."""
     owned = lines.join(bounded_broadcast(shared.select("hash").distinct()), "hash").join(owners(documents), "document_id")
     return owned.join(bounded_broadcast(shared.select("source", "hash")), ["source", "hash"]).select("page_id", "field_name", "line_no").distinct()
 
@@ -284,7 +288,8 @@ def same_lines(pages: DataFrame, documents: DataFrame, shared: DataFrame) -> Dat
 def found(pages: DataFrame, documents: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE, approximate: bool = True) -> DataFrame:
     """(page_id, field_name, line_no) of every boilerplate line; without ``approximate`` of those with equal hashes only."""
     if not approximate:
-        return same_lines(pages, documents, cut(shared_lines(pages, documents, min_documents)))
+        lines = cut(hashed_lines(pages))
+        return same_lines(lines, documents, cut(shared_lines(lines, documents, min_documents)))
     matched = cut(matched_lines(pages, documents))
     total = matched.select("source", "root", "document_id").distinct().groupBy("source", "root").agg(F.count("*").alias("n"))
     if min_share > 0:

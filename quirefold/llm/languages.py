@@ -217,8 +217,9 @@ def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, diction
 
     body_pages = pages.filter(F.col("document_id").isNotNull() & (F.col("body_text") != "")).select(F.col("document_id").alias("doc_id"), F.col("id").alias("page_id"), "body_text")
     # the lines that the page's own source repeats, by number
-    shared = cut(boilerplate.shared_lines(pages, documents, boilerplate.MIN_DOCUMENTS))
-    repeated = boilerplate.same_lines(pages, documents, shared).filter("field_name = 'body_text'").groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))  # lines of one page
+    lines = cut(boilerplate.hashed_lines(pages))  # hashed once, read twice
+    shared = cut(boilerplate.shared_lines(lines, documents, boilerplate.MIN_DOCUMENTS))
+    repeated = boilerplate.same_lines(lines.filter("field_name = 'body_text'"), documents, shared).groupBy("page_id").agg(F.collect_set("line_no").alias("gone"))  # lines of one page
     marked = body_pages.join(repeated, "page_id", "left")
 
     def bodies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,8 +230,8 @@ def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, diction
 
     from_pages = cut(marked.select("doc_id", "page_id", "body_text", "gone").mapInArrow(bodies, schema))
     # a segment of one line is none if the line is, but for misread letters, one that the source repeats
-    lines = from_pages.filter("line IS NOT NULL").select("page_id", "segment_no", F.col("doc_id").alias("document_id"), boilerplate.letters(F.col("line")).alias("key")).join(boilerplate.owners(documents), "document_id")
-    near = boilerplate.near_lines(lines, boilerplate.head_keys(pages, shared)).select("page_id", "segment_no").distinct()
+    single = from_pages.filter("line IS NOT NULL").select("page_id", "segment_no", F.col("doc_id").alias("document_id"), boilerplate.letters(F.col("line")).alias("key")).join(boilerplate.owners(documents), "document_id")
+    near = boilerplate.near_lines(single, boilerplate.head_keys(pages, shared)).select("page_id", "segment_no").distinct()
     from_texts = documents.filter(F.col("text").isNotNull() & (F.col("text") != "")).select("doc_id", "text").mapInArrow(texts, schema)
     return from_texts.unionByName(from_pages.join(near, ["page_id", "segment_no"], "left_anti")).drop("line")
 
