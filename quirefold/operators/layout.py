@@ -86,17 +86,27 @@ def column_gap(words: DataFrame, width: float) -> DataFrame:
 
     A bin is thin below min(.25, .30 x the mean coverage at the sides); pages with a side mean of .10 or less are left out.
     """
-    cover = line_coverage(words, width)
-    pages = cover.select(*PAGE, "n_lines").distinct()
-    side = cover.filter((F.col("bin") < GAP_FROM) | (F.col("bin") > GAP_TO)).groupBy(*PAGE).agg(F.sum("n_cover").alias("side_sum"))
+    w = F.lit(width)
+    # one shuffle by page; a line counts once in each bin that it covers, and once in bin -1
+    keyed = words.select(*PAGE, line_key(F.col("top")).alias("line"), F.sequence(bin_index(F.col("x0"), w), bin_index(F.col("x1"), w)).alias("bins")).repartition(*PAGE)
+    lines = keyed.groupBy(*PAGE, "line").agg(F.array_union(F.array_distinct(F.flatten(F.collect_list("bins"))), F.array(F.lit(-1))).alias("bins"))  # the words of one line
+    cover = lines.select(*PAGE, F.explode("bins").alias("bin")).groupBy(*PAGE, "bin").agg(F.count("*").alias("n"))
+    page = cover.groupBy(*PAGE).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("n"))  # 201 bins at most
+    n_lines, at = F.element_at("n", F.lit(-1)), lambda b: F.coalesce(F.try_element_at("n", b), F.lit(0))
+    side = F.aggregate(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: (b < GAP_FROM) | (b > GAP_TO)), F.lit(0).cast("long"), lambda a, b: a + at(b))
     n_side = BINS - (GAP_TO - GAP_FROM + 1)
-    limits = pages.join(side, PAGE).withColumn("side_mean", F.col("side_sum") / (F.col("n_lines") * n_side)).filter("side_mean > 0.10")
-    middle = limits.select(*PAGE, "n_lines", "side_mean", F.explode(F.sequence(F.lit(GAP_FROM), F.lit(GAP_TO))).alias("bin"))
-    shares = middle.join(cover.select(*PAGE, "bin", "n_cover"), [*PAGE, "bin"], "left").withColumn("share", F.coalesce("n_cover", F.lit(0)) / F.col("n_lines"))
-    thin = shares.filter(F.col("share") < F.least(F.lit(0.25), F.col("side_mean") * 0.30))
-    runs = thin.withColumn("island", F.col("bin") - F.row_number().over(W.partitionBy(*PAGE).orderBy("bin"))).groupBy(*PAGE, "island").agg(F.min("bin").alias("run_start"), F.count("*").alias("run_len"))
-    first = runs.withColumn("r", F.row_number().over(W.partitionBy(*PAGE).orderBy(F.desc("run_len"), "run_start"))).filter("r = 1 AND run_len >= 3")
-    return first.select(*PAGE, "run_start", "run_len", ((F.col("run_start") * 2 + F.col("run_len")) / 2 / BINS * width).alias("gap_x"))
+    sided = page.select(*PAGE, "n", n_lines.alias("n_lines"), (side / (n_lines * n_side)).alias("side_mean")).filter("side_mean > 0.10")
+    thin = F.transform(F.sequence(F.lit(GAP_FROM), F.lit(GAP_TO)), lambda b: at(b) / F.col("n_lines") < F.least(F.lit(0.25), F.col("side_mean") * 0.30))
+    runs = F.transform(thin, lambda t, k: F.struct(t.alias("thin"), (k + GAP_FROM).alias("bin")))
+    start = F.struct(F.lit(-1).alias("best"), F.lit(0).alias("size"), F.lit(0).alias("run"))
+
+    def longest(a: Column, x: Column) -> Column:
+        run = F.when(x.thin, a.run + 1).otherwise(0)
+        more = run > a["size"]
+        return F.struct(F.when(more, x.bin - run + 1).otherwise(a.best).alias("best"), F.when(more, run).otherwise(a["size"]).alias("size"), run.alias("run"))
+
+    found = sided.select(*PAGE, F.aggregate(runs, start, longest).alias("r")).filter("r.size >= 3").select(*PAGE, F.col("r.best").alias("run_start"), F.col("r.size").cast("long").alias("run_len"))
+    return found.select(*PAGE, "run_start", "run_len", ((F.col("run_start") * 2 + F.col("run_len")) / 2 / BINS * width).alias("gap_x"))
 
 
 def layout_vote(gaps: DataFrame, pages: DataFrame) -> DataFrame:
@@ -111,7 +121,8 @@ def layout_vote(gaps: DataFrame, pages: DataFrame) -> DataFrame:
 def line_gaps(page_lines: DataFrame) -> DataFrame:
     """``page_lines`` with gap: the distance to the next line of the page, null for the last."""
     w = W.partitionBy(*PAGE).orderBy("line")
-    return page_lines.withColumn("gap", F.greatest(F.lead("top").over(w) - F.col("bottom"), F.lit(0.0)))
+    below = F.lead("top").over(w)
+    return page_lines.withColumn("gap", F.when(below.isNotNull(), F.greatest(below - F.col("bottom"), F.lit(0.0))))
 
 
 def upper_median(values: Column) -> Column:

@@ -126,7 +126,7 @@ def diag_profile(s, d):
     return _page_sizes(w).join(L.column_gap(w, WIDTH), ["doc_id", "page_num"], "left").select("doc_id", "page_num", "n_lines", "run_start", "run_len")
 
 
-_LINE_GAPS = "line_gaps AS (SELECT *, greatest(lead(top) OVER (PARTITION BY doc_id, page_num ORDER BY line) - bottom, 0) AS gap FROM lines)"
+_LINE_GAPS = "line_gaps AS (SELECT * EXCLUDE below, CASE WHEN below IS NOT NULL THEN greatest(below - bottom, 0) END AS gap FROM (SELECT *, lead(top) OVER (PARTITION BY doc_id, page_num ORDER BY line) AS below FROM lines))"
 _MEDIANS = "medians AS (SELECT doc_id, page_num, list_sort(list(gap))[len(list(gap)) // 2 + 1] AS g FROM line_gaps WHERE gap > 0 GROUP BY ALL)"
 
 
