@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirefold.operators import metrics, state, timestamps
 from quirefold.plans.sqltimes import instants
-from quirefold.session import table
+from quirefold.session import ensure_checkpoint_dir, table
+from quirefold.sources import files
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -54,14 +57,27 @@ def in_time(s: SparkSession, d: str, df: DataFrame, field: str, *columns: str, l
 EXTENSION = r"\.(pdf|PDF|docx|DOCX|pptx|PPTX)$"
 
 
-@query("scan_files", f"SELECT file_path FROM documents WHERE regexp_matches(file_path, '{EXTENSION}') ORDER BY file_path")
+def inbox(s: SparkSession, d: str) -> DataFrame:
+    """The texts of all documents as files of a folder, under their numbers and the kinds of their file names, found again by scanning it. (The source lists no empty files.)"""
+    folder = f"{ensure_checkpoint_dir(s)}/inbox-{hashlib.md5(d.encode()).hexdigest()[:12]}"
+    kind = F.coalesce(F.nullif(F.regexp_extract("file_name", r"\.([A-Za-z]+)$", 1), F.lit("")), F.lit("txt"))
+    files.write_files(docs(s, d).filter("text <> ''").select(F.concat_ws(".", F.col("doc_id").cast("string"), kind).alias("name"), F.encode("text", "UTF-8").alias("content")), folder)
+    found = files.scan_files(s, folder)
+    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", "hash")
+
+
+_NAMES = "(SELECT *, doc_id || '.' || coalesce(nullif(regexp_extract(file_name, '\\.([A-Za-z]+)$', 1), ''), 'txt') AS name FROM documents WHERE text <> '')"
+
+
+@query("scan_files", f"SELECT name, octet_length(encode(text)) AS length FROM {_NAMES} WHERE regexp_matches(name, '{EXTENSION}')")
 def scan_files(s, d):
-    return docs(s, d).filter(F.col("file_path").rlike(EXTENSION)).select("file_path").orderBy("file_path")
+    return inbox(s, d).select("name", "length").orderBy("name")
 
 
-@query("file_hash", "SELECT doc_id, md5(text) AS content_md5 FROM documents")
+@query("file_hash", f"SELECT name, md5(text) AS hash FROM {_NAMES} WHERE regexp_matches(name, '{EXTENSION}')")
 def file_hash(s, d):
-    return docs(s, d).select("doc_id", F.md5(F.col("text").cast("binary")).alias("content_md5"))
+    """Hashes of the files' bytes."""
+    return inbox(s, d).select("name", "hash")
 
 
 def _scan(s, d):

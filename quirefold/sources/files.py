@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -19,15 +20,36 @@ GLOB = "*.{pdf,PDF,docx,DOCX,pptx,PPTX}"
 ATTEMPTS, WAITS = 3, (60, 120)
 
 
+def _local(folder: str) -> Path | None:
+    """The path of a folder on a mounted file system, None for other addresses."""
+    where = re.sub(r"^file:/+", "/", folder)
+    return None if re.match(r"[a-z][a-z0-9+.-]*:", where) else Path(where)
+
+
 def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length, hash, content) of the files of a folder and below; empty where the folder is missing."""
     schema = "path string, length long, hash string, content binary"
-    if not Path(folder).exists() and "://" not in folder:
+    where = _local(folder)
+    if where is not None and not where.exists():
         return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", GLOB).load(folder)
     return files.select("path", "length", F.md5("content").alias("hash"), "content")
 
 
+def write_files(df: DataFrame, folder: str) -> None:
+    """The ``content`` of each row of (name, content) as a file of a folder that all executors see as a path; a repeated task writes the same files again."""
+    root = _local(folder)
+    if root is None:
+        raise ValueError("a folder that is mounted on the executors is wanted")
+
+    def write(rows: Iterable) -> None:
+        root.mkdir(parents=True, exist_ok=True)
+        for r in rows:
+            (root / r["name"]).write_bytes(bytes(r["content"]))
+
+    df.select("name", "content").foreachPartition(write)
+
+
 def stream_files(spark: SparkSession, folder: str) -> DataFrame:
     """New files of a folder as a stream of (path, length, hash). Rewritten files are not new to a stream: the batch scan finds those."""
     schema = "path string, modificationTime timestamp, length long, content binary"
