@@ -75,6 +75,26 @@ def join_columns(left: Column, right: Column) -> Column:
     return let(F.struct(parts(left).alias("ls"), parts(right).alias("rs")), facing)
 
 
+def connect_columns(left: Column, right: Column) -> Column:
+    """Struct of both columns' texts (left, right), the sentence that runs over the break mended at the end of the left one."""
+
+    def mended(x: Column) -> Column:
+        tail, head = rstrip(F.try_element_at(x.ls, F.lit(-1))), lstrip(F.get(x.rs, F.lit(0)))
+        met = (F.size(x.ls) > 0) & (F.size(x.rs) > 0) & ~tail.rlike(ENDED) & head.rlike(T_LOWER)
+        glued = F.when(tail.endswith("-"), F.concat(F.regexp_replace(tail, r"-\z", ""), head)).otherwise(F.concat(tail, F.lit(" "), head))
+        joined = F.array_join(F.concat(F.slice(x.ls, 1, F.size(x.ls) - 1), F.array(glued)), "\n\n")
+        rest = F.array_join(F.slice(x.rs, 2, F.size(x.rs)), "\n\n")
+        return F.when(met, F.struct(joined.alias("left"), rest.alias("right"))).otherwise(F.struct(left.alias("left"), right.alias("right")))
+
+    return let(F.struct(parts(left).alias("ls"), parts(right).alias("rs")), mended)
+
+
+def insert_after(c: Column, pattern: str, tag: Column) -> Column:
+    """A text with a line for ``tag`` after the first line that matches; unchanged if none does."""
+    at = lambda lines: F.array_position(F.transform(lines, lambda x: T.strip(x).rlike(pattern)), F.lit(True)).cast("int")
+    return let(F.split(c, "\n"), lambda lines: F.when(at(lines) == 0, c).otherwise(F.array_join(F.concat(F.slice(lines, 1, at(lines)), F.array(tag), F.slice(lines, at(lines) + 1, F.size(lines))), "\n")))
+
+
 T_LOWER = r"^\p{Ll}"
 
 

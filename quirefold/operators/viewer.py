@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirefold.operators import layout
+
 
 def parse_markdown(text: str) -> list[list[str]]:
     """The cells of the Markdown table rows in ``text``, without the rule below the head."""
@@ -27,6 +29,22 @@ def words_one_line(words: DataFrame) -> DataFrame:
     return lines.groupBy("doc_id", "page_num").agg(F.array_join(F.transform(ordered, lambda x: x["t"]), " | ").alias("text"))
 
 
+#: What the viewer writes above a header and a footer, and for a page without text. Fixed values.
+HEADER, FOOTER, NO_TEXT = "[헤더]", "[푸터]", "(추출된 텍스트 없음)"
+
+
+def page_view(words: DataFrame, height: float) -> DataFrame:
+    """(doc_id, page_num, text) of every page that has a word: the words of its header, its paragraphs, the words of its footer."""
+    page = ["doc_id", "page_num"]
+    zoned = words.withColumn("zone", layout.zone(F.col("top"), F.lit(height)))
+    part = lambda name: zoned.filter(F.col("zone") == name)
+    header, footer = (words_one_line(part(n)).withColumnRenamed("text", n) for n in ("header", "footer"))
+    main = layout.paragraph_text(layout.lines(part("main"))).withColumnRenamed("text", "main")
+    full = words.select(*page).distinct().join(main, page, "left").join(header, page, "left").join(footer, page, "left")
+    marked = lambda mark, c: F.concat(F.lit(mark + "\n"), F.col(c))
+    return full.select(*page, F.concat_ws("\n\n", marked(HEADER, "header"), F.coalesce("main", F.lit(NO_TEXT)), marked(FOOTER, "footer")).alias("text"))
+
+
 def extract_by_strategy(df: DataFrame, engines: dict[str, Callable[[bytes], str]], default: str = "OCR_KOR_ENG") -> DataFrame:
     """(doc_id, strategy, text, error) of ``df`` (doc_id, strategy, content): each strategy's rows go to its engine only.
 

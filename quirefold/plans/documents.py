@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quirefold.operators import layout as L
 from quirefold.operators import pages as P
+from quirefold.operators import viewer as V
 from quirefold.plans import boxes
 from quirefold.plans.catalog import assets, docs
 from quirefold.plans.pipeline import _joined_sql, _stack
@@ -102,6 +103,18 @@ def digital_multicol_text(s, d):
     return _composed(s, d).groupBy("doc_id").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n\n").alias("text"))
 
 
+_VIEW = f"""sorted AS (SELECT *, CASE WHEN top < {HEIGHT} * 0.08::DOUBLE THEN 'header' WHEN top > {HEIGHT} * 0.93::DOUBLE THEN 'footer' ELSE 'main' END AS zone FROM words),
+rows5 AS (SELECT doc_id, page_num, zone, round_even(top / 5, 0) * 5 AS line, string_agg(text, ' ' ORDER BY x0, word_no) AS t FROM sorted GROUP BY ALL),
+one AS (SELECT doc_id, page_num, zone, string_agg(t, ' | ' ORDER BY line) AS t FROM rows5 GROUP BY ALL)"""
+_MAIN = f"{WORDS.replace('words AS (', 'all_words AS (')}, words AS (SELECT * FROM all_words WHERE top BETWEEN {HEIGHT} * 0.08::DOUBLE AND {HEIGHT} * 0.93::DOUBLE), {boxes._JOINED}, {boxes._LINE_GAPS}, {boxes._MEDIANS}, {boxes._ENDS}, main AS (SELECT doc_id, page_num, string_agg(t, '' ORDER BY line) AS t FROM ended GROUP BY ALL), {_VIEW.replace('FROM words)', 'FROM all_words)')}"
+
+
+@query("plumber_page_text", f"WITH {_MAIN} SELECT p.doc_id, p.page_num, array_to_string(list_filter([CASE WHEN h.t IS NOT NULL THEN '[헤더]' || chr(10) || h.t END, coalesce(m.t, '(추출된 텍스트 없음)'), CASE WHEN f.t IS NOT NULL THEN '[푸터]' || chr(10) || f.t END], lambda x: x IS NOT NULL), chr(10) || chr(10)) AS text FROM (SELECT DISTINCT doc_id, page_num FROM all_words) p LEFT JOIN main m USING (doc_id, page_num) LEFT JOIN (SELECT * FROM one WHERE zone = 'header') h USING (doc_id, page_num) LEFT JOIN (SELECT * FROM one WHERE zone = 'footer') f USING (doc_id, page_num)")
+def plumber_page_text(s, d):
+    """The viewer's text of each page: the header's words, the paragraphs, the footer's words."""
+    return V.page_view(words(s, d), HEIGHT)
+
+
 @query("process_digital")
 def process_digital(s, d):
     """Every page of every file with the tags of its stored assets, and their number."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quirefold.operators import images, timestamps
 from quirefold.plans import boxes
 from quirefold.plans.catalog import docs, logs, pages
-from quirefold.plans.sqltext import HEIGHT, WIDTH, q
+from quirefold.plans.sqltext import HEIGHT, WIDTH, WORDS, q
 from quirefold.plans.sqltimes import instants
 from quirefold.session import table
 from quirefold.sources import office
@@ -77,6 +77,21 @@ def _page_images(s, d) -> DataFrame:
     return boxes.words(s, d).groupBy("doc_id", "page_num").applyInPandas(draw, "doc_id long, page_num int, h int, w int, data binary")  # the words of one page
 
 
+_INK = f"SELECT doc_id, page_num, CAST(sum((greatest(trunc(bottom / 4), trunc(top / 4) + 1) - trunc(top / 4)) * (trunc(x1 / 4) - trunc(x0 / 4))) AS BIGINT) AS dark FROM words GROUP BY ALL"
+
+
+@query("page_render", f"WITH {WORDS} {_INK.replace('page_num,', f'page_num, {int(HEIGHT / 4)} AS h, {int(WIDTH / 4)} AS w,', 1)}")
+def page_render(s, d):
+    """Size and dark pixels of each page drawn at a quarter of its size."""
+    return images.map_images(_page_images(s, d), lambda x: (x < 128).sum(), "dark").join(_page_images(s, d).select("doc_id", "page_num", "h", "w"), ["doc_id", "page_num"]).withColumn("dark", F.col("dark").cast("long"))
+
+
+@query("binarise", f"WITH {WORDS} {_INK}")
+def binarise(s, d):
+    """Dark pixels of each page after its own threshold."""
+    return images.map_images(_page_images(s, d), lambda x: (x <= images.otsu(x)).sum(), "dark").withColumn("dark", F.col("dark").cast("long"))
+
+
 @query("layout_scanned")
 def layout_scanned(s, d):
     return images.map_images(_page_images(s, d), images.is_multi_column, "multi")

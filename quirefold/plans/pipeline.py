@@ -197,6 +197,18 @@ def join_columns(s, d):
     return pages(s, d).select("id", C.join_columns(_text("header_text"), _text("body_text")).alias("text"))
 
 
+@query("connect_columns", f"WITH s AS (SELECT id, coalesce(header_text, '') AS l, coalesce(body_text, '') AS r FROM page_contents), {_joined_sql('s')}, m AS (SELECT *, len(ls) > 0 AND len(rs) > 0 AND NOT regexp_matches({rstrip('ls[len(ls)]')}, {q(C.ENDED)}) AND regexp_matches({lstrip('rs[1]')}, {_LOWER}) AS joins, CASE WHEN ends_with(tail, '-') THEN left(tail, length(tail) - 1) ELSE tail || ' ' END || {lstrip('rs[1]')} AS mended FROM s_d) SELECT id, CASE WHEN joins THEN array_to_string(list_append(ls[1:len(ls) - 1], mended), {_EMPTY}) ELSE l END AS left_text, CASE WHEN joins THEN array_to_string(rs[2:len(rs)], {_EMPTY}) ELSE r END AS right_text FROM m")
+def connect_columns(s, d):
+    """Header and body of each page as two columns, connected where a sentence runs over."""
+    return pages(s, d).select("id", C.connect_columns(_text("header_text"), _text("body_text")).alias("c")).select("id", F.col("c.left").alias("left_text"), F.col("c.right").alias("right_text"))
+
+
+@query("insert_after", f"SELECT id, CASE WHEN coalesce(k, 0) = 0 THEN t ELSE array_to_string(list_concat(list_append(lines[1:k], '[TABLE_000]'), lines[k + 1:len(lines)]), chr(10)) END AS text FROM (SELECT *, list_position(list_transform(lines, lambda x: regexp_matches({strip('x')}, {q(T.LIST_ITEM)}) OR regexp_matches({strip('x')}, {q(T.TABLE_CAPTION)})), true) AS k FROM (SELECT id, coalesce(body_text, '') AS t, string_split(coalesce(body_text, ''), chr(10)) AS lines FROM page_contents))")
+def insert_after(s, d):
+    """Each page's body with a tag after its first caption of a table or its first list item."""
+    return pages(s, d).select("id", C.insert_after(_text("body_text"), f"{T.LIST_ITEM}|{T.TABLE_CAPTION}", F.lit("[TABLE_000]")).alias("text"))
+
+
 _AROUND = f"""s AS (SELECT id, coalesce(body_text, '') AS l0, coalesce(footer_text, '') AS r0 FROM page_contents),
 f AS (SELECT *, {_parts('l0')} AS pl, {_parts('r0')} AS pr FROM s),
 g AS (SELECT *, list_position(list_reverse(list_transform(pl, lambda x: {_caption(strip('x'))})), false) AS k, list_position(list_transform(pr, lambda x: {_caption(strip('x'))} OR ends_with({strip('x')}, '…') OR regexp_matches({strip('x')}, {q('^' + T.REF_TAG)})), false) AS m FROM f),

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.operators import viewer
+from quirefold.operators import schema, viewer
 from quirefold.plans import catalog
 from quirefold.plans.catalog import docs, pages
 from quirefold.plans.sqltext import strip
@@ -181,3 +181,41 @@ def config_load(s, d):
     config = viewer.Config.load({"inbox": "in", "attempts": 4, "unknown": 1}, {"QUIREFOLD_ATTEMPTS": "5", "QUIREFOLD_OCR_LANGUAGES": "kor,jpn"})
     text = lambda v: ",".join(map(str, v)) if isinstance(v, tuple) else str(v)
     return s.createDataFrame([(n, text(getattr(config, n))) for n in config.__dataclass_fields__], "name string, value string")
+
+
+@query("http_headers", "SELECT * FROM (VALUES ('Authorization', 'Bearer key'), ('Content-Type', 'application/json')) t(name, value)")
+def http_headers(s, d):
+    return s.createDataFrame(sorted(files.headers("key").items()), "name string, value string")
+
+
+@query("http_ping", "SELECT doc_id, doc_id % 4 <> 0 AND doc_id % 5 <> 0 AS reached FROM documents")
+def http_ping(s, d):
+    """One call per document; every fourth fails and every fifth is refused."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b.doc_id, "reached": [files.ping(lambda: 1 // (i % 4) * 0 + (403 if i % 5 == 0 else 200)) for i in b.doc_id]})  # noqa: B023
+
+    return docs(s, d).select("doc_id").mapInPandas(run, "doc_id long, reached boolean")
+
+
+@query("schema_init", f"SELECT table_name, column_name, CAST(ordinal_position - 1 AS INTEGER) AS position FROM information_schema.columns WHERE table_name IN ({', '.join(repr(n) for n in schema.TABLES)})")
+def schema_init(s, d):
+    """The columns of the store's empty tables, which are those of the stored ones."""
+    rows = [(name, column, k) for name in schema.TABLES for k, column in enumerate(schema.create(s, name).columns)]
+    return s.createDataFrame(rows, "table_name string, column_name string, position int")
+
+
+_LATER = list(schema.VERSIONS[2][1])
+
+
+@query("migrate", "SELECT doc_id, status, NULL::VARCHAR AS source_type, NULL::VARCHAR AS layout_type, NULL::VARCHAR AS detected_languages, false AS has_formula, NULL::VARCHAR AS ocr_strategy FROM documents")
+def migrate(s, d):
+    """The documents of the first version, brought up to the last."""
+    return schema.migrate(docs(s, d).drop(*_LATER), 1).select("doc_id", "status", *_LATER)
+
+
+@query("migration_versions", "SELECT 2 AS version, 'classification' AS description")
+def migration_versions(s, d):
+    """What is still to be applied after the first version."""
+    return schema.pending(s.createDataFrame([(1,), (1,)], "version int"))

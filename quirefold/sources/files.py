@@ -170,6 +170,19 @@ def correct_texts(df: DataFrame, make_corrector: Callable[[], Callable[[str], st
     return df.select("doc_id", "text").mapInPandas(run, "doc_id long, text string")
 
 
+def headers(key: str) -> dict[str, str]:
+    """What every call of the service carries."""
+    return {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}
+
+
+def ping(call: Callable[[], int]) -> bool:
+    """Whether the service answers a call with a status below 400; a failing call is no answer."""
+    try:
+        return 200 <= call() < 400
+    except Exception:
+        return False
+
+
 def find_in_listing(listing: str, wanted: str) -> bool:
     try:
         return holds_id(json.loads(listing).get("localFiles"), wanted)
