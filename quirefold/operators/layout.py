@@ -1,11 +1,13 @@
 """Word boxes to text: lines, columns, gaps, paragraphs. Everything is local to a page (doc_id, page_num).
 
 ``words``: doc_id, page_num, word_no, text, x0, x1, top, bottom (points, y downwards). Line keys, coverage and gaps are
-aggregations and windows; the ordered folds run per page as array functions or as one Arrow pass per group.
+aggregations and windows; the ordered folds run per page as array functions or over sorted partitions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,8 +52,7 @@ def lines(words: DataFrame) -> DataFrame:
 def group_lines(words: DataFrame) -> DataFrame:
     """doc_id, page_num, word_no, line_no: lines by key, with words that continue the line just above (raised or lowered text) moved into it."""
 
-    def run(key: tuple, page: pd.DataFrame) -> pd.DataFrame:
-        page = page.assign(k=(page.top / LINE_PT).round() * LINE_PT).sort_values(["k", "x0", "word_no"])
+    def grouped(page: pd.DataFrame) -> list[tuple]:
         merged: list[tuple[float, list]] = []
         for k, group in page.groupby("k", sort=True):
             boxes = list(group.itertuples())
@@ -64,10 +65,24 @@ def group_lines(words: DataFrame) -> DataFrame:
                     merged.append((k, rest))
             else:
                 merged.append((k, boxes))
-        rows = [(*key, b.word_no, n) for n, (_, boxes) in enumerate(merged) for b in boxes]
-        return pd.DataFrame(rows, columns=[*PAGE, "word_no", "line_no"])
-
-    return words.groupBy(*PAGE).applyInPandas(run, "doc_id long, page_num int, word_no int, line_no int")  # the words of one page
+        return [(b.doc_id, b.page_num, b.word_no, n) for n, (_, boxes) in enumerate(merged) for b in boxes]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None  # the page whose words may go on in the next batch
+        for b in batches:
+            b = b if held is None else pd.concat([held, b], ignore_index=True)
+            if b.empty:
+                continue
+            first = (b[PAGE] == b[PAGE].iloc[-1]).all(axis=1).idxmax()
+            held = b.iloc[first:]
+            rows = [r for _, page in b.iloc[:first].groupby(PAGE, sort=False) for r in grouped(page)]
+            yield pd.DataFrame(rows, columns=[*PAGE, "word_no", "line_no"])
+        if held is not None:
+            yield pd.DataFrame(grouped(held), columns=[*PAGE, "word_no", "line_no"])
+
+    # the words of a page lie together in one partition, so that a batch serves many pages
+    keyed = words.select(*PAGE, "word_no", "x0", "x1", line_key(F.col("top")).alias("k")).repartition(*PAGE).sortWithinPartitions(*PAGE, "k", "x0", "word_no")
+    return keyed.mapInPandas(run, "doc_id long, page_num int, word_no int, line_no int")
 
 
 def line_coverage(words: DataFrame, width: float) -> DataFrame:

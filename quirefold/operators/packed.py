@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quirefold.session import bounded_broadcast, cut
+
 #: Candidate delimiters by field kind, fixed values; "/" needs blanks around it unless the pieces are codes.
 CANDIDATES = {
     "code": ["\n", ";", "|", "\t", ",", "/", "+", " ", "·", "、", "，", "；"],
@@ -210,10 +212,11 @@ def delimiter_scores(values: DataFrame) -> DataFrame:
 
 def split_packed(values: DataFrame) -> DataFrame:
     """(table_name, row_id, field_name, pos, item, n_items) of ``values`` (table_name, row_id, field_name, source, text), with the delimiters inferred per source."""
-    accepted = (
+    accepted = cut(
         delimiter_scores(values).filter(F.col("score") >= ACCEPT).groupBy("field_name", "source").agg(F.collect_set("delimiter").alias("accepted"))
     )  # a set of at most a dozen candidates per source and field
-    joined = values.withColumn("source", F.coalesce("source", F.lit(""))).join(accepted, ["field_name", "source"], "left")
+    # one row per source and field: sent around after a check of their number, so that a source with many values is no hot key
+    joined = values.withColumn("source", F.coalesce("source", F.lit(""))).join(bounded_broadcast(accepted), ["field_name", "source"], "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from quirefold.operators import images, layout
 from pyspark.sql import functions as F
 from quirefold.functions import columns as C
@@ -100,12 +101,16 @@ def test_header_of_a_paper():
     assert academic_header(chars, 800.0)["title"] == "Ti" and academic_header([], 1.0)["title"] == ""
 
 
-def test_group_lines_in_spark_equals_the_page_function(spark):
+@pytest.mark.parametrize("batch", ["10000", "7"])
+def test_group_lines_in_spark_equals_the_page_function(spark, batch):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     random.seed(2)
     rows = [(d, p, k, f"w{k}", float(random.randrange(0, 500)), 0.0, float(random.randrange(0, 300)), 0.0) for d in range(3) for p in range(2) for k in range(60)]
     rows = [(d, p, k, t, x0, x0 + 20, top, top + 10) for d, p, k, t, x0, _, top, _ in rows]
     words = spark.createDataFrame(rows, "doc_id long, page_num int, word_no int, text string, x0 double, x1 double, top double, bottom double")
     got = {(r.doc_id, r.page_num, r.word_no): r.line_no for r in layout.group_lines(words).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     for d in range(3):
         for p in range(2):
             boxes = {k: Box(t, x0, x1, top, bottom) for dd, pp, k, t, x0, x1, top, bottom in rows if (dd, pp) == (d, p)}
