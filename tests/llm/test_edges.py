@@ -17,6 +17,8 @@ def test_null_rows(spark, tmp_path, name):
     rows = QUERIES[name](spark, write_tables(spark, tmp_path, clash=True, **null_rows())).collect()
     if name == "p8_ids":
         assert [(r.doc_id, r.ids) for r in rows] == [(None, [])]
+    elif name == "p8_decoded":
+        assert [(r.doc_id, r.text) for r in rows] == [(None, "")]
     elif name == "p7_cleaned":
         assert len(rows) == 1 and rows[0].body_text is None
     else:
