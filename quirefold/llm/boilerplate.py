@@ -132,27 +132,27 @@ def _paired(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return _mixed(first.view(np.uint64) * _FACTOR + second.view(np.uint64), 4).view(np.int64)
 
 
-def head_pieces(key: str) -> list[np.ndarray]:
-    """The beginnings of a head's pieces, two more than edits are allowed, each at the places and in the lengths to which
-    so many edits can move it; none for short heads."""
+def head_pieces(key: str) -> list[list[np.ndarray]]:
+    """For each length that a line near a head may have, the beginnings of the head's pieces, two more than edits are
+    allowed, each at the places to which so many edits can move it; none for short heads."""
     n = len(key)
     if n < LONG:
         return []
     hashes = piece_hashes(key)[n >= LONGER]
     edits = allowed_edits(n)
-    sizes = range(max(0, n - edits) // WIDTH, (n + edits) // WIDTH + 1)
     out = []
-    for at in (n * k // (edits + 2) for k in range(edits + 2)):
-        rows = [(place * WIDTH, size * WIDTH) for place in range(max(0, at - edits) // WIDTH, (at + edits) // WIDTH + 1) for size in sizes]
-        place, size = np.array(rows, np.int64).T
-        out.append(_placed(np.repeat(hashes[at], len(rows)), place, size))
+    for size in range(max(0, n - edits) // WIDTH, (n + edits) // WIDTH + 1):
+        pieces = []
+        for at in (n * k // (edits + 2) for k in range(edits + 2)):
+            places = np.arange(max(0, at - edits) // WIDTH, (at + edits) // WIDTH + 1) * WIDTH
+            pieces.append(_placed(np.repeat(hashes[at], len(places)), places, np.full(len(places), size * WIDTH)))
+        out.append(pieces)
     return out
 
 
 def head_pairs(key: str) -> list[int]:
-    """What a line near a head is looked up by: the pairs of the head's pieces."""
-    pieces = head_pieces(key)
-    pairs = [_paired(np.repeat(a, len(b)), np.tile(b, len(a))) for k, b in enumerate(pieces) for a in pieces[:k]]
+    """What a line near a head is looked up by: the pairs of the head's pieces in lines of one length."""
+    pairs = [_paired(np.repeat(a, len(b)), np.tile(b, len(a))) for pieces in head_pieces(key) for k, b in enumerate(pieces) for a in pieces[:k]]
     return sorted(set(np.concatenate(pairs).tolist())) if pairs else []
 
 
@@ -227,35 +227,43 @@ def head_keys(pages: DataFrame, shared: DataFrame) -> DataFrame:
     return shared.join(keys, ["page_id", "hash"]).select("source", F.col("hash").alias("head"), "n", "head_key")
 
 
-def _with_pairs(heads: DataFrame) -> DataFrame:
-    """``heads`` (source, head, n, head_key, ...) with a row for each pair of pieces."""
+def _pairs_of(heads: DataFrame) -> DataFrame:
+    """(source, head, pair) of ``heads`` (source, head, head_key); the letters stay behind, as long heads have many pairs."""
     cutter = F.udf(head_pairs, "array<bigint>", useArrow=True)  # once per head
-    return heads.select("*", F.explode(cutter("head_key")).alias("pair"))
+    return heads.select("source", "head", F.explode(cutter("head_key")).alias("pair"))
 
 
 def _piece_filter(heads: DataFrame) -> np.ndarray:
-    cutter = F.udf(lambda key: [x for piece in head_pieces(key) for x in piece.tolist()], "array<bigint>", useArrow=True)
+    cutter = F.udf(lambda key: [x for pieces in head_pieces(key) for piece in pieces for x in piece.tolist()], "array<bigint>", useArrow=True)
     return bit_filter(heads.select(F.explode(cutter("head_key")).alias("piece")), "piece")
 
 
+def _met(lines: DataFrame, pairs: DataFrame, *ids: str) -> DataFrame:
+    """(ids, source, head) of the ``lines`` (ids, source, pairs) that hold a pair of a head of their source, each once."""
+    looked = lines.select(*ids, "source", F.explode(F.array_distinct("pairs")).alias("pair"))
+    return looked.join(pairs, ["source", "pair"]).select(*ids, "source", "head").distinct()
+
+
 def near_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
-    """The rows of ``lines`` (source, key, ...) that are within the allowed edits of one of the ``heads`` (source, head_key) of their source."""
-    heads = cut(heads.select("source", "head_key").distinct())
-    pairs = cut(_with_pairs(heads))
-    looked = _survivors(lines, None, _piece_filter(heads), bit_filter(pairs, "pair"))
-    hits = looked.select("*", F.explode("pairs").alias("pair")).drop("pairs").join(pairs, ["source", "pair"]).filter(_close(F.col("key"), F.col("head_key")))
-    return hits.select(*lines.columns).distinct()
+    """(page_id, segment_no) of the ``lines`` (page_id, segment_no, source, key) that are within the allowed edits of one of the ``heads`` (source, head, head_key) of their source."""
+    ids = ["page_id", "segment_no"]
+    heads = cut(heads.select("source", "head", "head_key"))
+    pairs = cut(_pairs_of(heads))
+    kept = cut(_survivors(lines.select(*ids, "source", "key"), None, _piece_filter(heads), bit_filter(pairs, "pair")))
+    met = _met(kept, pairs, *ids).join(heads, ["source", "head"]).join(kept.select(*ids, "key"), ids)
+    return met.filter(_close(F.col("key"), F.col("head_key"))).select(*ids).distinct()
 
 
 def _roots(heads: DataFrame) -> DataFrame:
     """``heads`` with ``root``: heads within a few edits of each other, or joined by such steps, have the same."""
-    pairs = cut(_with_pairs(heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))).select("source", "vertex", "head_key", "pair"))
-    lines = heads.select("source", F.concat_ws("\t", "source", F.col("head").cast("string")).alias("vertex"), F.col("head_key").alias("key"))
-    looked = _survivors(lines, None, _piece_filter(heads), bit_filter(pairs, "pair")).select("source", F.col("vertex").alias("a"), "key", F.explode("pairs").alias("pair"))
-    edges = looked.join(pairs, ["source", "pair"]).filter(F.col("a") != F.col("vertex")).dropDuplicates(["a", "vertex"]).filter(_close(F.col("key"), F.col("head_key"))).select("a", F.col("vertex").alias("b"))
+    vertex = lambda h: F.concat_ws("\t", "source", F.col(h).cast("string"))
+    pairs = cut(_pairs_of(heads))
+    lines = heads.select("source", F.col("head").alias("a"), F.col("head_key").alias("key"))
+    met = _met(_survivors(lines, None, _piece_filter(heads), bit_filter(pairs, "pair")), pairs, "a").filter(F.col("a") != F.col("head"))
+    both = met.join(heads.select("source", "head", "head_key"), ["source", "head"]).join(lines, ["source", "a"])
+    edges = both.filter(_close(F.col("key"), F.col("head_key"))).select(vertex("a").alias("a"), vertex("head").alias("b"))
     roots = connected_components(edges).select(F.col("node").alias("vertex"), F.col("component").alias("root"))
-    named = heads.withColumn("vertex", F.concat_ws("\t", "source", F.col("head").cast("string")))
-    rooted = named.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).drop("vertex")
+    rooted = heads.withColumn("vertex", vertex("head")).join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).drop("vertex")
     enough = rooted.groupBy("root").agg(F.sum("n").alias("together")).filter(F.col("together") >= TOGETHER).select("root")
     return rooted.join(enough, "root", "left_semi")
 
@@ -264,19 +272,22 @@ def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(page_id, document_id, source, field_name, line_no, root) of every line that is, exactly or nearly, that of a head of its source."""
     heads = cut(_roots(cut(head_keys(pages, cut(shared_lines(hashed_lines(pages), documents))))))
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
-    pairs = cut(_with_pairs(heads).select("source", "pair", "head_key", "n", "root"))
+    pairs = cut(_pairs_of(heads))
     # hash and letters are made once per line: a generator keeps them from being copied into every use
     made = F.struct(line_hash(F.col("line")).alias("hash"), F.when(F.length("line") <= longest * 2 + 40, letters(F.col("line"))).alias("key"))
     lines = page_lines(pages).withColumn("made", F.explode(F.array(made))).select("page_id", "document_id", "field_name", "line_no", "made.hash", "made.key")
     kept = _survivors(lines, bit_filter(heads, "head"), _piece_filter(heads), bit_filter(pairs, "pair")).join(owners(documents), "document_id")
     # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for pieces
     exact = heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key"))
-    marked = kept.join(exact, ["source", "hash"], "left")
-    keyed = marked.withColumn("own_root", F.when(F.col("own_root").isNotNull() & _close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root"))).drop("own_key")
-    looked = keyed.select("page_id", "document_id", "source", "field_name", "line_no", "key", "own_root", F.explode_outer(F.when(F.col("own_root").isNull(), F.array_distinct("pairs"))).alias("pair"))
-    hits = looked.join(pairs, ["source", "pair"], "left").filter(F.col("own_root").isNotNull() | _close(F.col("key"), F.col("head_key")))
-    best = F.coalesce(F.max("own_root"), F.max_by("root", F.struct("n", "root")))
-    return hits.groupBy("page_id", "field_name", "line_no").agg(F.first("document_id").alias("document_id"), F.first("source").alias("source"), best.alias("root"))
+    own = F.when(F.col("own_root").isNotNull() & _close(F.col("key"), F.col("own_key"), 0.12, 2 * FAR), F.col("own_root"))
+    marked = kept.join(exact, ["source", "hash"], "left").withColumn("root", own)
+    line = ["page_id", "field_name", "line_no"]
+    placed = ["page_id", "document_id", "source", "field_name", "line_no"]
+    marked = cut(marked.select(*placed, "root", F.when(F.col("root").isNull(), F.col("key")).alias("key"), F.when(F.col("root").isNull(), F.col("pairs")).alias("pairs")))
+    rest = marked.filter("root IS NULL")
+    near = _met(rest, pairs, *line).join(heads.select("source", "head", "head_key", "n", "root"), ["source", "head"]).join(rest.select(*line, "document_id", "key"), line).filter(_close(F.col("key"), F.col("head_key")))
+    best = near.groupBy(*placed).agg(F.max_by("root", F.struct("n", "root")).alias("root"))
+    return marked.filter("root IS NOT NULL").select(*placed, "root").unionByName(best.select(*placed, "root"))
 
 
 def same_lines(lines: DataFrame, documents: DataFrame, shared: DataFrame) -> DataFrame:

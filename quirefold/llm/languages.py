@@ -231,7 +231,7 @@ def segments(documents: DataFrame, pages: DataFrame, profiles: Profiles, diction
     from_pages = cut(marked.select("doc_id", "page_id", "body_text", "gone").mapInArrow(bodies, schema))
     # a segment of one line is none if the line is, but for misread letters, one that the source repeats
     single = from_pages.filter("line IS NOT NULL").select("page_id", "segment_no", F.col("doc_id").alias("document_id"), boilerplate.letters(F.col("line")).alias("key")).join(boilerplate.owners(documents), "document_id")
-    near = boilerplate.near_lines(single, boilerplate.head_keys(pages, shared)).select("page_id", "segment_no").distinct()
+    near = boilerplate.near_lines(single, boilerplate.head_keys(pages, shared))
     from_texts = documents.filter(F.col("text").isNotNull() & (F.col("text") != "")).select("doc_id", "text").mapInArrow(texts, schema)
     return from_texts.unionByName(from_pages.join(near, ["page_id", "segment_no"], "left_anti")).drop("line")
 
