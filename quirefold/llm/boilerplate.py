@@ -65,10 +65,13 @@ def letters(line: Column) -> Column:
     return F.lower(F.regexp_replace(line, r"[^\p{L}\p{M}]+", ""))
 
 
-def line_hash(line: Column) -> Column:
-    """Hash of what no misreading changes; of all letters where less than ``SKELETON`` of that is left."""
-    skeleton = F.translate(F.regexp_replace(F.lower(line), LEFT_OUT, ""), "f", "t")
-    return F.xxhash64(F.when(F.length(skeleton) >= SKELETON, skeleton).otherwise(letters(line)))
+def with_hash(lines: DataFrame) -> DataFrame:
+    """``lines`` (line, ...) with ``hash``: of what no misreading changes; of all letters where less than ``SKELETON`` of that is left."""
+    folded = F.translate(F.regexp_replace(F.lower("line"), LEFT_OUT, ""), "f", "t")
+    # a generator keeps the pattern from being run for each use of its result
+    once = lines.withColumn("skeleton", F.explode(F.array(folded)))
+    rested = F.when(F.length("skeleton") >= SKELETON, F.col("skeleton")).otherwise(letters(F.col("line")))
+    return once.withColumn("hash", F.xxhash64(rested)).drop("skeleton")
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
@@ -208,7 +211,7 @@ def _close(a: Column, b: Column, share: float = 0.06, far: int = FAR) -> Column:
 
 def hashed_lines(pages: DataFrame) -> DataFrame:
     """(page_id, document_id, field_name, line_no, hash) of the lines that can be boilerplate."""
-    return page_lines(pages).select("page_id", "document_id", "field_name", "line_no", line_hash(F.col("line")).alias("hash"))
+    return with_hash(page_lines(pages)).select("page_id", "document_id", "field_name", "line_no", "hash")
 
 
 def shared_lines(lines: DataFrame, documents: DataFrame, least: int = HEADS) -> DataFrame:
@@ -223,7 +226,7 @@ def shared_lines(lines: DataFrame, documents: DataFrame, least: int = HEADS) ->
 def head_keys(pages: DataFrame, shared: DataFrame) -> DataFrame:
     """(source, head, n, head_key): the hashes of ``shared`` with their letters, read from one page each."""
     told = pages.join(bounded_broadcast(shared.select(F.col("page_id").alias("id")).distinct(), TOLD), "id", "left_semi")
-    keys = page_lines(told).select("page_id", line_hash(F.col("line")).alias("hash"), letters(F.col("line")).alias("key")).groupBy("page_id", "hash").agg(F.min("key").alias("head_key"))
+    keys = with_hash(page_lines(told)).select("page_id", "hash", letters(F.col("line")).alias("key")).groupBy("page_id", "hash").agg(F.min("key").alias("head_key"))
     return shared.join(keys, ["page_id", "hash"]).select("source", F.col("hash").alias("head"), "n", "head_key")
 
 
@@ -273,9 +276,8 @@ def matched_lines(pages: DataFrame, documents: DataFrame) -> DataFrame:
     heads = cut(_roots(cut(head_keys(pages, cut(shared_lines(hashed_lines(pages), documents))))))
     longest = heads.agg(F.max(F.length("head_key"))).first()[0] or 0  # no line with more letters is near a head
     pairs = cut(_pairs_of(heads))
-    # hash and letters are made once per line: a generator keeps them from being copied into every use
-    made = F.struct(line_hash(F.col("line")).alias("hash"), F.when(F.length("line") <= longest * 2 + 40, letters(F.col("line"))).alias("key"))
-    lines = page_lines(pages).withColumn("made", F.explode(F.array(made))).select("page_id", "document_id", "field_name", "line_no", "made.hash", "made.key")
+    key = F.when(F.length("line") <= longest * 2 + 40, letters(F.col("line")))
+    lines = with_hash(page_lines(pages)).select("page_id", "document_id", "field_name", "line_no", "hash", key.alias("key"))
     kept = _survivors(lines, bit_filter(heads, "head"), _piece_filter(heads), bit_filter(pairs, "pair")).join(owners(documents), "document_id")
     # a line that has a head's hash, and in full not much else than the head, is that head's; only the rest looks for pieces
     exact = heads.select("source", F.col("head").alias("hash"), F.col("root").alias("own_root"), F.col("head_key").alias("own_key"))
