@@ -58,3 +58,25 @@ def test_no_box_is_shuffled(spark, tmp_path, name):
     df = boxes.QUERIES[name](spark, d)
     assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert {(r.doc_id, r.page_num) for r in df.collect()} == {(k, p) for k in range(7) for p in range(3)}
+
+
+def test_composed_pages_are_made_many_at_a_time(spark, tmp_path):
+    """Pages with and without words, assets, documents or numbers, each once; no group of a page starts Python anew."""
+    text = " ".join(f"w{k}" for k in range(900))
+    asset = {"asset_type": "TABLE", "bbox_x0": 40.0, "bbox_x1": 300.0, "bbox_y0": 300.0, "bbox_y1": 350.0}
+    held = [asset | {"id": k, "document_id": doc, "page_num": page, "ref_tag": f"[TABLE_00{k}]"} for k, (doc, page) in enumerate([(1, 0), (1, 1), (5, 0), (None, 0), (None, None)])]
+    d = write_tables(spark, tmp_path, documents=[{"doc_id": 1, "text": text}, {"doc_id": 2, "text": "one two"}, {"doc_id": None, "text": "lost words"}], document_assets=held)
+    df = boxes.QUERIES["page_text_with_assets"](spark, d)
+    rows = {(r.doc_id, r.page_num): r.text for r in df.collect()}
+    assert set(rows) == {(1, 0), (1, 1), (1, 2), (2, 0), (5, 0), (None, 0), (None, None)} and df.count() == 7
+    assert rows[5, 0] == "[TABLE_002]" and rows[None, None] == "[TABLE_004]" and rows[2, 0] == "one two" and "lost words" in rows[None, 0] and "[TABLE_003]" in rows[None, 0]
+    assert "[TABLE_000]" in rows[1, 0] and "[TABLE_001]" in rows[1, 1]
+    assert "FlatMap" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zones_of_assets_move_no_box(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(900))
+    held = [{"id": k, "document_id": 1, "page_num": 0, "bbox_y0": y, "bbox_y1": y + 50} for k, y in enumerate((200.0, 400.0))]
+    df = boxes.QUERIES["asset_to_zone"](spark, write_tables(spark, tmp_path, documents=[{"doc_id": 1, "text": text}], document_assets=held))
+    assert {(r.zone_no, r.n_words) for r in df.collect()} == {(0, 80), (1, 88), (2, 176)}
+    assert "hashpartitioning(doc_id" in df._jdf.queryExecution().executedPlan().toString() and "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
