@@ -41,7 +41,7 @@ CONFUSIONS = [
 PRIOR, WEIGHT, BOUNDS = 0.01, 50.0, (0.2, 5.0)
 #: Weight of a single word's count against that of a pair.
 BACK_OFF = 0.01
-#: Places of a word that can be misread, up to which two misreadings are looked for; no word of a language has more.
+#: Places of a word that can be misread, up to which its readings are listed; those of words with more are found among the known words.
 PLACES = 64
 #: Letters read for digits within numbers. Fixed values.
 DIGITS = {"O": "0", "o": "0", "l": "1", "I": "1", "S": "5"}
@@ -175,6 +175,73 @@ def readings(word: str) -> list[tuple[str, int, int]]:
     return [(x, *numbers) for x, numbers in out.items()]
 
 
+def _step(word: str, printed: str) -> int:
+    """The first confusion by which ``printed`` was read as ``word``, -1 if it was none."""
+    same = next((k for k, (a, b) in enumerate(zip(word, printed)) if a != b), min(len(word), len(printed)))
+    for number, (read, right) in enumerate(CONFUSIONS):
+        if len(right) - len(read) == len(printed) - len(word):
+            for at in range(max(0, same - max(len(read), len(right))), same + 1):
+                if word.startswith(read, at) and printed.startswith(right, at) and word[at + len(read) :] == printed[at + len(right) :]:
+                    return number
+    return -1
+
+
+def _undone_once(word: str) -> Iterator[tuple[str, int]]:
+    """(printed word, confusion) of one confusion at each place, in the order of ``readings``."""
+    for number, (read, printed) in enumerate(CONFUSIONS):
+        at = word.find(read)
+        while at >= 0:
+            yield word[:at] + printed + word[at + len(read) :], number
+            at = word.find(read, at + 1)
+
+
+def is_crowded(word: str) -> bool:
+    """Whether a word has more than ``PLACES`` places, so that its readings are not listed but found among the known words."""
+    seen: set[str] = set()
+    for x, _ in _undone_once(word):
+        seen.add(x)
+        if len(seen) > PLACES:
+            return True
+    return False
+
+
+def reading(word: str, printed: str) -> tuple[int, int] | None:
+    """What ``readings`` would give for ``printed``, however many readings the word has."""
+    if word == printed:
+        return None
+    if (number := _step(word, printed)) >= 0:
+        return number, -1
+    for x, number in _undone_once(word):
+        if x != word and (second := _step(x, printed)) >= 0:
+            return number, second
+    return None
+
+
+#: The letters of all confusions: what is left of a word without them no misreading changes.
+_CONFUSED = "".join(sorted({c for pair in CONFUSIONS for part in pair for c in part}))
+#: Letters by which two misreadings change a word's length at most, and the least length of a crowded word.
+_SHIFT = 2 * max(abs(len(read) - len(printed)) for read, printed in CONFUSIONS)
+_CROWDED = PLACES // max(Counter(read[0] for read, _ in CONFUSIONS).values())
+
+
+def _crowded_readings(unsure: DataFrame, known: DataFrame, kinds: pa.Schema) -> DataFrame:
+    """(word, printed, first, second, own, read, dirty) of the crowded words, whose readings are too many to be listed: each is held against the known words that differ from it in confused letters only."""
+    rest = lambda c: F.translate(c, _CONFUSED, "").alias("rest")
+
+    def crowded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([is_crowded(w) for w in b.column(0).to_pylist()], pa.bool_()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _batch([(w, printed, *x, own, read, dirty) for w, own, read, dirty, printed in _rows(b) if (x := reading(w, printed))], kinds)
+
+    long = unsure.filter(F.length("word") >= _CROWDED).mapInArrow(crowded, unsure.schema)
+    names = known.filter(F.length("printed") >= _CROWDED - _SHIFT).select("printed", rest("printed"))
+    met = long.select("*", rest("word")).join(names, "rest").filter(F.abs(F.length("word") - F.length("printed")) <= _SHIFT)
+    return met.select("word", "own", "read", "dirty", "printed").mapInArrow(run, "word string, printed string, first int, second int, own long, read long, dirty long")
+
+
 def _count_words(texts: DataFrame) -> DataFrame:
     """(word, clean, dirty, asked) of ``texts`` (text, clean, scanned): counts per word; asked: forms of broken words."""
 
@@ -230,11 +297,13 @@ def lexicon(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _batch([(w, *x, own, read, dirty) for w, own, read, dirty in _rows(b) for x in readings(w)], kinds)
+            yield _batch([(w, *x, own, read, dirty) for w, own, read, dirty in _rows(b) if not is_crowded(w) for x in readings(w)], kinds)
 
     # own: the read word's count in clean texts; read: its count everywhere
-    possible = unsure.select("word", F.col("clean").alias("own"), (F.col("clean") + F.col("dirty")).alias("read"), "dirty").mapInArrow(run, "word string, printed string, first int, second int, own long, read long, dirty long")
+    asking = unsure.select("word", F.col("clean").alias("own"), (F.col("clean") + F.col("dirty")).alias("read"), "dirty")
+    possible = asking.mapInArrow(run, "word string, printed string, first int, second int, own long, read long, dirty long")
     known = counts.filter((F.col("clean") + F.col("dirty")) >= KNOWN).select(F.col("word").alias("printed"), "clean", (F.col("clean") + F.col("dirty")).alias("n"))
+    possible = possible.unionByName(_crowded_readings(asking, known, kinds))
     likely = cut(
         possible.join(known, "printed")
         .filter(((F.col("clean") >= KNOWN) & (F.col("n") >= F.col("read"))) | (F.col("n") >= TIMES * F.greatest("read", F.lit(1))))

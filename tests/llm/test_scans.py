@@ -101,3 +101,17 @@ def test_confusion_rates_follow_the_scans(spark):
     assert rates[0] > 3 * rates[10] and len(rates) == len(scans.CONFUSIONS)
     assert all(scans.PRIOR * scans.BOUNDS[0] <= r <= scans.PRIOR * scans.BOUNDS[1] for r in rates)
     assert scans.confusion_rates(counts.limit(0), likely.limit(0)) == [scans.PRIOR] * len(scans.CONFUSIONS)
+
+
+def test_two_misreadings_in_words_of_any_length(spark):
+    """A word with more places than ``PLACES`` gets its candidates too, the same ones that listing all of them would give."""
+    printed = "illicit" * 30 + "zebra"
+    read = printed.replace("l", "1", 1).replace("ze", "zc")
+    assert scans.is_crowded(read)
+    texts = spark.createDataFrame([(f"{printed} a", True, False)] * 3 + [(f"{read} b", False, True)], "text string, clean boolean, scanned boolean")
+    rows = [r for r in scans.lexicon(texts).collect() if r.word == read]
+    assert [r.printed for r in rows] == [printed]
+    for word in ("clin1e", "rnorn", "vvii1", "1lcl"):
+        for x, *numbers in scans.readings(word):
+            assert scans.reading(word, x) == tuple(numbers), (word, x)
+        assert scans.reading(word, word) is None and scans.reading(word, "other") is None
