@@ -6,12 +6,13 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import attrgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.operators import layout
+from quirefold.operators import layout, pages
 
 
 def parse_markdown(text: str) -> list[list[str]]:
@@ -45,6 +46,23 @@ def page_view(words: DataFrame, height: float) -> DataFrame:
     return full.select(*page, F.concat_ws("\n\n", marked(HEADER, "header"), F.coalesce("main", F.lit(NO_TEXT)), marked(FOOTER, "footer")).alias("text"))
 
 
+def page_text(boxes: list[pages.Box], height: float) -> str:
+    """The text that ``page_view`` gives for a page whose words are at hand, in their order."""
+    zones: dict[str, list] = {"header": [], "main": [], "footer": []}
+    for b in boxes:
+        zones["header" if b.top < height * 0.08 else "footer" if b.top > height * 0.93 else "main"].append(b)
+
+    def one_line(some: list[pages.Box]) -> str:
+        lines: dict[float, list] = {}
+        for b in sorted(some, key=attrgetter("x0")):
+            lines.setdefault(round(b.top / 5), []).append(b.text)
+        return " | ".join(" ".join(lines[k]) for k in sorted(lines))
+
+    marked = [f"{mark}\n{one_line(zones[z])}" if zones[z] else None for mark, z in ((HEADER, "header"), (FOOTER, "footer"))]
+    main = pages.to_paragraphs(zones["main"], merged=False) if zones["main"] else NO_TEXT
+    return "\n\n".join(x for x in (marked[0], main, marked[1]) if x is not None)
+
+
 def extract_by_strategy(df: DataFrame, engines: dict[str, Callable[[bytes], str]], default: str = "OCR_KOR_ENG") -> DataFrame:
     """(doc_id, strategy, text, error) of ``df`` (doc_id, strategy, content): each strategy's rows go to its engine only.
 
