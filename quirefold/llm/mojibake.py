@@ -10,11 +10,14 @@ is found.
 
 A single-byte text read with another single-byte code keeps its length, so compressed bytes tell little of a single
 word. For the chains of ``REREAD`` the description length is that of each high character given its two neighbours, by
-the texts of the training sample that have them: if one word of a line saves ``LEAST_BITS``, the chain that saves most
+the number of texts that have them: if one word of a line saves ``LEAST_BITS``, the chain that saves most
 is undone in each word that it does not make longer. A character between blanks tells too little to begin with.
 
-The dictionaries and these counts are trained on a bounded sample of labelled rows: at most ``SAMPLE_DOCS`` documents of each language
-(the least hashes of their ids) with ``SAMPLE_CHARS`` characters each; the decision covers every line of every text.
+The dictionaries and these counts are made from all texts but those that are plainly garbled. Words are counted per language
+where the texts are read; a dictionary of ``DICTIONARY`` bytes is trained on the words of a language, each as often as its
+share of ``MODEL_UNITS`` says, so that it does not depend on the order in which texts are read. The neighbours of a high character
+are counted over the texts of all labels with at least ``LEAST_TEXT`` characters, but for words that are UTF-8 read as a single-byte code
+and characters after a question mark, which mostly stands for a lost one. The decision covers every line of every text.
 
 Defined results: null, empty and ASCII texts without escapes are unchanged; a text with a replacement character (U+FFFD)
 is garbled, its lost characters stay; line ends and lines that no chain shortens stay as they are; repeated rows are each
@@ -29,16 +32,21 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirefold.llm.sampling import labelled_sample
+from quirefold.session import cut
 
-#: Bound of the training sample: documents of a language, characters of each, bytes of a dictionary.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY = 250, 4000, 32_768
+#: Bytes of a dictionary, and words (with their repetitions) that it is trained on: the counts of all texts are scaled down to these.
+DICTIONARY, MODEL_UNITS = 32_768, 150_000
+#: Characters of a text from which its characters' neighbours count: what a shorter one holds may be its garbled line alone.
+LEAST_TEXT = 100
+#: Words of a Python worker from which its counts are passed on; words of more characters are counted in pieces.
+COUNTED, LONG_WORD = 200_000, 16
 LANGUAGES = ("ko", "en", "ja", "de", "fr", "es")
 #: Description length of one step of a chain, and of one lost character, in bytes.
 STEP_COST, LOSS_COST = 1.0, 4.0
@@ -61,7 +69,7 @@ SEVEN = (
 READ = r"[^\x00-\x7F]|[\x0E\x1B]|\$[@B][!-~]+\([BJ]|~\{|\+[A-Za-z0-9/]{3}"
 #: (wrongly read as, written in) of single-byte texts read with another single-byte code; undone word by word.
 REREAD = tuple((read_as, written) for read_as in SINGLE for written in SINGLE[:4] if read_as != written)
-#: High characters from which a line whose wide ones are all in the training sample is not taken for a wide code misread.
+#: High characters from which a line whose wide ones are all in the dictionaries is not taken for a wide code misread.
 KNOWN_LINE = 8
 #: Bits that undoing such a chain must save in one word of a line.
 LEAST_BITS = 3.0
@@ -75,6 +83,10 @@ _LINE = re.compile(r"[^\n]+")
 _USUAL = re.compile("[\x00-\u00ff\u0370-\u03ff\u2010-\u203a\u2070-\u22ff\u3000-\u30ff\u4e00-\u9fff\uac00-\ud7a3\U0001f300-\U0001faff]")
 _BETWEEN = re.compile(r"[^\x00-\x7f\ufffd]+")
 _HIGH_WORD = re.compile(r"[^ \t\r]*[^\x00-\x7f][^ \t\r]*")
+#: Texts that no model is made from: lost characters, C1 controls, UTF-8 read as windows-1252.
+_GARBLED = re.compile("[\ufffd\x80-\x9f]|[ÃÂ][\xa0-\xbf]|â€")
+#: Pieces of a long word: Han characters with what follows them up to the next ones.
+_PIECE = re.compile(r"[\u4e00-\u9fff々]+[^\s\u4e00-\u9fff々]{0,16}\s*|[^\s\u4e00-\u9fff々]{1,16}\s*|\s+")
 
 
 @lru_cache(maxsize=16)
@@ -203,7 +215,7 @@ def contexts(text: str) -> list[str]:
 
 
 class Dictionaries(dict):
-    """One zstandard dictionary per language, and of each of ``contexts`` the number of texts of their sample that have it."""
+    """One zstandard dictionary per language, and of each of ``contexts`` the number of texts that have it."""
 
     counts: Counter | None = None
 
@@ -228,7 +240,7 @@ class Repairer:
         return min(len(p.compress(raw)) for p in self.packers)
 
     def _candidates(self, line: str) -> Iterator[tuple[str, int]]:
-        """(line with a chain undone, characters lost); characters that the sample does not hold count as lost but for usual ones."""
+        """(line with a chain undone, characters lost); characters that the dictionaries do not hold count as lost but for usual ones."""
         for code, pattern in SEVEN if any(x in line for x in ("\x1b", "\x0e", "$", "~{", "+")) else ():
             if pattern.search(line) and (new := undo_seven(line, code, pattern)) != line:
                 yield new, 0
@@ -346,20 +358,92 @@ class Repairer:
         return _LINE.sub(fix, text), changed
 
 
-def train_dictionaries(documents: DataFrame, languages: tuple[str, ...] = LANGUAGES, sample_docs: int = SAMPLE_DOCS) -> dict[str, bytes]:
-    """One zstandard dictionary per language label, from at most ``sample_docs`` documents of each (see the module)."""
-    usable = (F.length("text") >= 100) & ~F.col("text").rlike("[\\x{FFFD}\\x{0080}-\\x{009F}]|[ÃÂ][\\x{00A0}-\\x{00BF}]|â€")
-    rows = labelled_sample(documents, languages, sample_docs, SAMPLE_CHARS, usable)
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of (lang, text): the words of each language; under no language the texts that have each of ``contexts``."""
+    names = ["lang", "word", "n"]
+    words: dict[str, Counter] = {}
+    texts: Counter = Counter()
+    memo: dict[str, tuple[str, ...]] = {}
+
+    def misread(word: str) -> bool:
+        return bool(_single_runs().search(word)) and any(undo_single(word, code) != word for code in SINGLE)
+
+    def flush() -> pa.RecordBatch:
+        langs, keys, counts = [], [], []
+        for lang, held in words.items():
+            short: Counter = Counter()
+            for word, n in held.items():
+                for piece in _PIECE.findall(word + " ") if len(word) > LONG_WORD or "\n" in word else (word + " ",):
+                    short[piece] += n
+            langs += [lang] * len(short)
+            keys += short
+            counts += short.values()
+        langs += [None] * len(texts)
+        keys += texts
+        counts += texts.values()
+        words.clear()
+        texts.clear()
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(keys, pa.string()), pa.array(counts, pa.int64())], names=names)
+
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            plain = text.isascii()
+            if not plain and _GARBLED.search(text):
+                continue
+            parts = text.split(" ")
+            if lang is not None:
+                words.setdefault(lang, Counter()).update(parts)
+            if not plain and len(text) >= LEAST_TEXT:
+                held: set[str] = set()
+                for word in set(parts):
+                    if not word.isascii():
+                        known = memo.get(word)
+                        if known is None:
+                            if len(memo) >= MEMO:
+                                memo.clear()
+                            known = memo[word] = () if misread(word) else tuple(c for c in contexts(word) if c[0] != "?")
+                        held.update(known)
+                texts.update(held)
+            if sum(map(len, words.values())) + len(texts) >= COUNTED:
+                yield flush()
+    yield flush()
+
+
+def _lines(counts: dict[str, int], total: int) -> list[bytes]:
+    """Lines of twelve words in which each word stands as often as its share of ``MODEL_UNITS`` says, at most ``counts`` times, its places spread evenly."""
+    scale = min(1.0, MODEL_UNITS / total)
+    places = []
+    for word, n in counts.items():
+        copies = max(1, round(n * scale))
+        shift = int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "big") / 2**64
+        places += [((k + shift) / copies, word) for k in range(copies)]
+    ordered = [word for _, word in sorted(places)]
+    return ["".join(ordered[k : k + 12]).encode() for k in range(0, len(ordered), 12)]
+
+
+def train_dictionaries(documents: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> dict[str, bytes]:
+    """One zstandard dictionary per language label, and the counts of ``contexts``, from all texts (see the module)."""
+    lang = F.when(F.col("lang").isin(*languages), F.col("lang")).alias("lang")
+    counted = documents.filter(F.col("text").isNotNull()).select(lang, "text").mapInArrow(_counted, "lang string, word string, n long")
+    counts = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))  # asked for twice
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # one row per language
+    # words that get a place among ``MODEL_UNITS``, at most twice as many for each language, and all of ``contexts``
+    kept = F.col("lang").isNull()
+    for name in languages:
+        kept = kept | ((F.col("lang") == name) & (2 * MODEL_UNITS * F.col("n") >= totals.get(name, 0)))
+    words: dict[str | None, dict[str, int]] = {}
+    for r in counts.filter(kept).collect():
+        words.setdefault(r["lang"], {})[r["word"]] = r["n"]
     out = Dictionaries()
-    out.counts = Counter(c for texts in rows.values() for t in texts for c in set(contexts(t)))
-    for lang, texts in rows.items():
-        pieces = [p for t in texts for p in t.encode("utf-8").split(b"\n") if len(p) > 20]
-        if not pieces:
+    out.counts = Counter(words.pop(None, {}))
+    for name in languages:
+        if name not in words:
             continue
+        pieces = _lines(words[name], totals[name])
         try:
-            out[lang] = zstandard.train_dictionary(DICTIONARY, pieces).as_bytes()
-        except zstandard.ZstdError:  # too few samples: the sample itself is the dictionary
-            out[lang] = b"\n".join(pieces)[-DICTIONARY:] 
+            out[name] = zstandard.train_dictionary(DICTIONARY, pieces).as_bytes()
+        except zstandard.ZstdError:  # too few words: they are the dictionary
+            out[name] = b"\n".join(pieces)[-DICTIONARY:]
     return out
 
 

@@ -113,3 +113,21 @@ def test_seven_bit_codes_and_single_letters():
     assert repairer.text("C++ and A+B-C cost $B5 (B) ~{x} +1-2")[1] == 0
     for read_as in ("cp949", "gb18030", "koi8_r", "cp1250"):
         assert repairer.text("La rivière révèle le schéma après 1999 et la lumière".encode().decode(read_as))[0] == "La rivière révèle le schéma après 1999 et la lumière", read_as
+
+
+def test_dictionaries_and_counts_come_from_all_texts(spark):
+    late = "a plain text without any high character. " * 120 + "Im Fjørd." + " and so on" * 10  # behind 4000 characters
+    rows = [(k, "fr", f"La rivière {k} dépasse près de la vallée le débit, " * 3) for k in range(400)] + [(400, "de", late), (401, "it", "perché la città è più larga " * 5)]
+    rows += [(402, "fr", sloppy("La rivière déjà".encode()) * 9), (403, "fr", "trop court ç"), (405, "fr", "?² = ? (x ? ?)² dx " * 9), (404, "fr", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    known = mojibake.train_dictionaries(docs.repartition(5))
+    assert known.counts["ièr"] == 400 and known.counts["jør"] == 1 and known.counts["iù "] == 1 and known.counts[")² "] == 1
+    assert not {"iÃ¨", " ç ", "?² "} & known.counts.keys() and set(known) == {"fr", "de"}
+    again = mojibake.train_dictionaries(docs.coalesce(1))
+    assert dict(again) == dict(known) and again.counts == known.counts
+    assert "rivière".encode() in known["fr"]
+
+
+def test_dictionaries_of_no_texts(spark):
+    known = mojibake.train_dictionaries(spark.createDataFrame([(1, "fr", None), (2, None, "é" * 200)], "doc_id long, lang string, text string"))
+    assert dict(known) == {} and known.counts["ééé"] == 1
